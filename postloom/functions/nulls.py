@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +31,13 @@ def first_filled(*values: Column) -> Column:
     return F.coalesce(*[F.nullif(v, F.lit("")) for v in values])
 
 
-def field(df: DataFrame, names: Iterable[str], dtype: str = "string") -> Column:
-    """First filled column among those of ``names`` the frame has; else NULL."""
-    known = [F.col(n) for n in names if n in df.columns]
-    if not known:
-        return F.lit(None).cast(dtype)
-    if dtype != "string":
-        return F.coalesce(*known)
-    return first_filled(*[c.cast("string") for c in known])
+def field(df: DataFrame, names: Sequence[str]) -> Column:
+    """First filled column of ``names``; a column the frame lacks counts as NULL.
+
+    The last name is the fallback and may be empty text.
+    """
+    values = [F.col(n).cast("string") if n in df.columns else F.lit(None).cast("string")
+              for n in names]
+    if not values:
+        return F.lit(None).cast("string")
+    return F.coalesce(*[F.nullif(v, F.lit("")) for v in values[:-1]], values[-1])

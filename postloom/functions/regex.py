@@ -111,6 +111,17 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | (strip(text) == "")
 
 
+def word_array(words: Iterable[str]) -> Column:
+    """Constant array, sent to the planner as one literal."""
+    return F.split(F.lit("\x01".join(words)), "\x01")
+
+
+def word_map(pairs: dict[str, str]) -> Column:
+    """Constant map, sent to the planner as one literal."""
+    text = "\x01".join(f"{k}\x02{v}" for k, v in pairs.items())
+    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it many times in ``body``."""
     return F.element_at(F.transform(F.array(value), body), 1)

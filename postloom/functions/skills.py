@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from postloom.functions import wordlists as W
 from postloom.functions.regex import (
     NO_WORD_AFTER, NO_WORD_BEFORE, SPACE, WORD, WORD_AFTER, WORD_BEFORE, is_word_char, let,
-    strip, whole_word_scans,
+    strip, whole_word_scans, word_array, word_map,
 )
 
 MAX_FOLDED_TERMS = 20_000
@@ -103,11 +103,9 @@ def implied_skills(terms: tuple[str, ...]) -> dict[str, list[str]]:
 
 
 def _expand(found: Column, table: dict[str, list[str]]) -> Column:
-    literal = F.create_map(*[
-        x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v)))
-    ])
+    known = word_map({spelling: "\x03".join(names) for spelling, names in table.items()})
     return F.flatten(F.transform(
-        found, lambda s: F.coalesce(F.try_element_at(literal, s), F.array(s))))
+        found, lambda s: F.coalesce(F.split(F.try_element_at(known, s), "\x03"), F.array(s))))
 
 
 def tidy_skills(skills: Column, keep_dash: bool = False) -> Column:
@@ -115,7 +113,7 @@ def tidy_skills(skills: Column, keep_dash: bool = False) -> Column:
     normal = F.array_distinct(
         F.transform(F.array_distinct(skills), lambda s: normalize_skill(s, keep_dash)))
     useful = F.filter(normal, lambda s: (F.length(s) > 1) & ~s.rlike(r"\A\p{Nd}+\z"))
-    return F.array_sort(F.array_except(useful, F.array(*map(F.lit, W.SKILL_STOP_WORDS))))
+    return F.array_sort(F.array_except(useful, word_array(W.SKILL_STOP_WORDS)))
 
 
 def extract_skills(text: Column, vocabulary: SkillVocabulary = STARTER) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
 from postloom.functions.regex import (
-    SPACE, WORD, collapse, contains_any, is_blank, let, one_of, quote, strip,
+    SPACE, WORD, collapse, contains_any, is_blank, let, one_of, quote, strip, word_map,
 )
 
 # --------------------------------------------------------------------------
@@ -31,11 +31,6 @@ _CODE_PAGE = {
 }
 
 
-def _lookup(table: dict[str, str], key: Column) -> Column:
-    literal = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.try_element_at(literal, key)
-
-
 def _from_code_point(n: Column) -> Column:
     valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
     utf32 = F.unhex(F.lpad(F.hex(F.when(valid, n).otherwise(F.lit(0xFFFD))), 8, "0"))
@@ -53,11 +48,11 @@ def _decode_after_ampersand(piece: Column) -> Column:
         F.substring(piece, F.length(entity) + 1, F.length(piece)), r"\A;", "")
     return (
         F.when(number != "", F.concat(
-            F.coalesce(_lookup(_CODE_PAGE, F.concat(F.lit("#"), code.cast("string"))),
+            F.coalesce(F.try_element_at(word_map(_CODE_PAGE), F.concat(F.lit("#"), code.cast("string"))),
                        _from_code_point(code), F.lit("\ufffd")),
             tail_of(number)))
         .when(name != "", F.concat(
-            F.coalesce(_lookup(_ENTITIES, name), F.concat(F.lit("&"), name)), tail_of(name)))
+            F.coalesce(F.try_element_at(word_map(_ENTITIES), name), F.concat(F.lit("&"), name)), tail_of(name)))
         .otherwise(F.concat(F.lit("&"), piece))
     )
 

@@ -16,7 +16,7 @@ def seen_urls(cache: DataFrame | None, raw: DataFrame, url_fields: Sequence[str]
     urls = raw.select(field(raw, url_fields).alias("url"))
     if cache is not None:
         urls = cache.select("url").unionByName(urls)
-    return urls.where("url is not null").distinct()
+    return with_url(urls, "url").distinct()
 
 
 def with_url(df: DataFrame, url: str) -> DataFrame:

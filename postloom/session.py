@@ -15,6 +15,11 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # streams keep unbounded link state on disk, not on the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # no call-site capture per column expression: the rules are long expressions
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
