@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from checks import inputs
 from postloom.functions import dates, enrich, places, predicates, skills, text
 from postloom.operators import dedup, merge, reports, seen
+from postloom.operators.spread import spread
 from postloom.operators.vocabulary import match_terms
 from postloom.plans import marts
 from postloom.plans.pipeline import union_sources as unite
@@ -45,11 +46,15 @@ def _view(sql: str, *names: str) -> Query:
     return lambda spark, sf: spark.sql(sql, **{n: table(spark, sf, n) for n in names})
 
 
-postings = _view(inputs.POSTINGS, "documents", "customer")
+postings_view = _view(inputs.POSTINGS, "documents", "customer")
 date_texts = _view(inputs.DATE_TEXTS, "orders")
 posting_pages = _view(inputs.POSTING_PAGES, "pages")
 
 
+def postings(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(postings_view(spark, sf), "record_no")
+
+
 def stamp(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(column)
 
@@ -61,7 +66,7 @@ def joined(column: str) -> Column:
 # ------------------------------------------------------------------ raw records
 def raw_records(spark: SparkSession, sf: str, source: str) -> DataFrame:
     """Postings under the column names of a source."""
-    p = postings(spark, sf)
+    p = postings_view(spark, sf)
     c = F.col
     shapes = {
         "tapneo": {
@@ -132,7 +137,7 @@ def _column(name: str, value: Callable[[], Column], source: Query = postings) ->
 
 
 _c = F.col
-html_text: Query = lambda spark, sf: table(spark, sf, "pages").select(
+html_text: Query = lambda spark, sf: spread(table(spark, sf, "pages"), "page_id").select(
     "page_id", text.html_to_text(_c("html")).alias("body"))
 clean_description = _column("body", lambda: text.clean_description(_c("description")))
 clean_title = _column("job_title", lambda: text.clean_title(_c("title")))

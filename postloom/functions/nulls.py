@@ -14,7 +14,10 @@ from postloom.functions.wordlists import NULL_WORDS
 
 def null_words_to_null(value: Column) -> Column:
     """``NaN``, ``NaT`` and ``None`` written as text are missing values."""
-    return F.when(~F.lower(strip(value)).isin(NULL_WORDS), value)
+    # the length test keeps long texts from being lower-cased
+    trimmed = strip(value)
+    is_word = (F.length(trimmed) <= max(map(len, NULL_WORDS))) & F.lower(trimmed).isin(NULL_WORDS)
+    return F.when(~is_word, value)
 
 
 def normalize_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
-from postloom.functions.regex import contains_any, strip
+from postloom.functions.regex import contains_any, let, strip
 
 
 def _false_if_null(test: Column) -> Column:
@@ -52,15 +52,15 @@ def has_forbidden_title(title: Column) -> Column:
 def is_tech_posting(title: Column, description: Column, skills: Column) -> Column:
     """Ordered test: infrastructure words win over blocked words, those over
     degrees, and skills decide the rest."""
-    title, description = F.lower(title), F.lower(description)
-
-    def either(words: list[str]) -> Column:
-        return _false_if_null(contains_any(title, words)) | _false_if_null(
-            contains_any(description, words))
-
-    return (
-        F.when(either(W.INFRA_WORDS), F.lit(True))
-        .when(either(W.BLOCK_WORDS), F.lit(False))
-        .when(_false_if_null(contains_any(description, W.DEGREE_PHRASES)), F.lit(True))
-        .otherwise(F.coalesce(F.size(skills), F.lit(0)) > 0)
-    )
+    def decide(t: Column, d: Column) -> Column:
+        def either(words: list[str]) -> Column:
+            return _false_if_null(contains_any(t, words)) | _false_if_null(contains_any(d, words))
+
+        return (
+            F.when(either(W.INFRA_WORDS), F.lit(True))
+            .when(either(W.BLOCK_WORDS), F.lit(False))
+            .when(_false_if_null(contains_any(d, W.DEGREE_PHRASES)), F.lit(True))
+            .otherwise(F.coalesce(F.size(skills), F.lit(0)) > 0)
+        )
+
+    return let(F.lower(title), lambda t: let(F.lower(description), lambda d: decide(t, d)))

@@ -126,7 +126,7 @@ def extract_skills(text: Column, vocabulary: SkillVocabulary = STARTER) -> Colum
         words = F.concat(*[F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in scans])
         parts = [
             _expand(F.array_distinct(words), implied),
-            F.array_compact(F.array(*[F.when(t.contains(p), p) for p in W.COMPOUND_PHRASES])),
+            F.filter(word_array(W.COMPOUND_PHRASES), lambda p: t.contains(p)),
             F.array(*[F.regexp_extract(t, v, 0) for v in W.COMPOUND_VARIANTS]),
         ]
         if vocabulary.versions:
@@ -152,9 +152,11 @@ def skill_contexts(text: Column, skills: Column, window: int = 50) -> Column:
     Windows may overlap, so positions are running lengths of the pieces between
     occurrences, not a consuming match.
     """
-    def around(skill: Column, original: Column) -> Column:
+    def around(skill: Column, original: Column, lowered: Column) -> Column:
         width = F.length(skill)
+        # the literal is looked at first: boundaries are only tested where it stands
         pattern = F.concat(
+            F.lit(r"(?=\Q"), skill, F.lit(r"\E)"),
             F.when(skill.rlike(rf"\A[{WORD}]"), NO_WORD_BEFORE).otherwise(WORD_BEFORE),
             F.lit(r"\Q"), skill, F.lit(r"\E"),
             F.when(skill.rlike(rf"[{WORD}]\z"), NO_WORD_AFTER).otherwise(WORD_AFTER))
@@ -169,9 +171,10 @@ def skill_contexts(text: Column, skills: Column, window: int = 50) -> Column:
                 F.concat(state["contexts"], F.array(snippet)).alias("contexts"))
 
         empty = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("contexts"))
-        return let(F.split(F.lower(original), pattern), lambda pieces: F.aggregate(
+        return let(F.split(lowered, pattern), lambda pieces: F.aggregate(
             F.slice(pieces, 1, F.size(pieces) - 1), empty, add, lambda s: s["contexts"]))
 
-    entries = let(text, lambda original: F.transform(
-        skills, lambda s: F.struct(s.alias("key"), around(s, original).alias("value"))))
+    entries = let(text, lambda original: let(F.lower(original), lambda lowered: F.transform(
+        F.filter(skills, lambda s: lowered.contains(s)),
+        lambda s: F.struct(s.alias("key"), around(s, original, lowered).alias("value")))))
     return F.map_from_entries(F.filter(entries, lambda e: F.size(e["value"]) > 0))

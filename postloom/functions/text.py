@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
 from postloom.functions.regex import (
-    SPACE, WORD, collapse, contains_any, is_blank, let, one_of, quote, strip, word_map,
+    SPACE, WORD, collapse, contains_any, let, one_of, quote, strip, word_array, word_map,
 )
 
 # --------------------------------------------------------------------------
@@ -71,9 +71,13 @@ def html_to_text(html: Column, separator: str = " ") -> Column:
     def visible(node: Column) -> Column:
         return strip(decode_entities(node))
 
-    nodes = F.filter(F.transform(F.split(html, HTML_BREAK), visible), lambda n: n != "")
-    text = F.when(html.contains("<"), F.array_join(nodes, separator)).otherwise(visible(html))
-    return F.coalesce(text, F.lit(""))
+    def extract(source: Column) -> Column:
+        nodes = F.filter(
+            F.transform(F.split(source, HTML_BREAK), visible), lambda n: n != "")
+        return F.when(source.contains("<"), F.array_join(nodes, separator)).otherwise(
+            visible(source))
+
+    return F.coalesce(let(html, extract), F.lit(""))
 
 
 # --------------------------------------------------------------------------
@@ -90,8 +94,7 @@ def clean_description(description: Column, job_title: Column | None = None) -> C
 
     With ``job_title`` a leading "job title: <title>" is dropped too.
     """
-    text = F.when(description.contains("<"), F.regexp_replace(description, "<[^<]+?>", ""))
-    text = text.otherwise(description)
+    text = F.regexp_replace(description, "<[^<]+?>", "")
     for entity, character in W.DESCRIPTION_ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
     if job_title is not None:
@@ -103,7 +106,7 @@ def clean_description(description: Column, job_title: Column | None = None) -> C
     text = F.regexp_replace(text, _INTRO, "")
     text = F.translate(text, W.BULLET_MARKS, " " * len(W.BULLET_MARKS))
     text = F.regexp_replace(text, rf"(?iu)view email address on [^{SPACE}]+", "")
-    return F.when(is_blank(description), F.lit("")).otherwise(collapse(text))
+    return F.coalesce(collapse(text), F.lit(""))
 
 
 # --------------------------------------------------------------------------
@@ -111,7 +114,7 @@ def clean_description(description: Column, job_title: Column | None = None) -> C
 # --------------------------------------------------------------------------
 def clean_company_name(company: Column) -> Column:
     name = F.regexp_replace(strip(company), rf"(?iu)\Aclient of[{SPACE}]+", "")
-    return F.when(~is_blank(company), strip(name))
+    return F.nullif(strip(name), F.lit(""))
 
 
 def title_case(text: Column) -> Column:
@@ -146,11 +149,16 @@ def title_from_description(description: Column) -> Column:
 
         return let(F.regexp_extract(text, _INLINE_TITLE, 1), tidy)
 
+    roles = ranked_roles()
+    titles = word_map({role: role.title() for role in roles})
+
     def choose(lowered: Column) -> Column:
-        chain = F.when(contains_any(lowered, W.NON_TECH_PHRASES), F.lit(W.DEFAULT_TITLE))
-        for role in ranked_roles():
-            chain = chain.when(lowered.contains(role), F.lit(role.title()))
-        return chain.when(lowered.contains("title"), inline(strip(description)))
+        longest = F.get(F.filter(word_array(roles), lambda r: lowered.contains(r)), F.lit(0))
+        return (
+            F.when(contains_any(lowered, W.NON_TECH_PHRASES), F.lit(W.DEFAULT_TITLE))
+            .otherwise(F.coalesce(
+                F.try_element_at(titles, longest),
+                F.when(lowered.contains("title"), inline(strip(description))))))
 
     return F.coalesce(let(F.lower(description), choose), F.lit(W.DEFAULT_TITLE))
 

@@ -5,33 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.functions.regex import WORD
+from postloom.functions.regex import NO_WORD_BEFORE, WORD, WORD_AFTER, WORD_BEFORE, let
 from postloom.functions.skills import skill_text
+from postloom.operators.spread import spread
 
 
-def _phrases(tokens: Column, n_words: int) -> Column:
-    """All phrases of 1..n words; tokens alternate between words and separators.
+def _phrases(text: Column, n_words: int) -> Column:
+    """Distinct phrases of 1..n words at every word, captured by looking ahead.
 
-    A phrase may also take the separator before or after it when the word on the
-    other side touches it, which is how terms like ``.net`` and ``c#`` match.
+    A phrase may also take the separators before or after it when a word touches
+    them, which is how terms like ``.net`` and ``c#`` match.
     """
-    n = F.size(tokens)
-    word = lambda i: F.get(tokens, i).rlike(f"[{WORD}]")
-    inner = lambda i, k: F.array_join(F.slice(tokens, i + 1, k), "")
-
-    def at(i: Column) -> Column:
-        options = []
-        for k in range(1, 2 * n_words, 2):
-            inside = i + k <= n
-            options.append(F.when(inside, inner(i, k)))
-            options.append(F.when(inside & (i + k + 1 < n), inner(i, k + 1)))
-            options.append(F.when(inside & (i >= 2), inner(i - 1, k + 1)))
-            options.append(
-                F.when(inside & (i >= 2) & (i + k + 1 < n), inner(i - 1, k + 2)))
-        return F.array_compact(F.array(*options))
-
-    starts = F.filter(F.sequence(F.lit(0), n - 1), word)
-    return F.array_distinct(F.flatten(F.transform(starts, at)))
+    word, gap = f"[{WORD}]++", f"[^{WORD}]++"
+    scans = []
+    for more in range(n_words):
+        body = word + f"(?:{gap}{word}){{{more}}}"
+        scans += [
+            f"{NO_WORD_BEFORE}(?=({body}))",
+            f"{NO_WORD_BEFORE}(?=({body}{gap}){WORD_AFTER})",
+            f"{WORD_BEFORE}(?=({gap}{body}))",
+            f"{WORD_BEFORE}(?=({gap}{body}{gap}){WORD_AFTER})",
+        ]
+    return let(text, lambda t: F.array_distinct(F.concat(*[
+        F.regexp_extract_all(t, F.lit(scan), F.lit(1)) for scan in scans])))
 
 
 def match_terms(
@@ -41,10 +37,9 @@ def match_terms(
 
     ``n_words`` is the largest number of words of a term.  Phrases are distinct per
     text before the join, and the join is a plain equi-join: Spark broadcasts the
-    vocabulary only while it is under the broadcast threshold.
+    vocabulary only while it is under the broadcast threshold, and splits a phrase
+    that most texts share (adaptive skew join) otherwise.
     """
-    tokens = F.regexp_extract_all(
-        skill_text(F.col(text)), F.lit(f"[{WORD}]+|[^{WORD}]+"), F.lit(0))
-    staged = df.where(F.col(text).rlike(f"[{WORD}]")).select(key, tokens.alias("__tokens"))
-    phrases = staged.select(key, F.explode(_phrases(F.col("__tokens"), n_words)).alias(term))
+    phrases = spread(df.select(key, text), key).select(
+        key, F.explode(_phrases(skill_text(F.col(text)), n_words)).alias(term))
     return phrases.join(terms.select(term).distinct(), term).select(key, term)

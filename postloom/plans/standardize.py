@@ -29,6 +29,7 @@ from postloom.functions.text import (
 )
 from postloom.operators.compute_once import compute_once
 from postloom.operators.dedup import keep_first
+from postloom.operators.spread import spread
 from postloom.plans.specs import STAGING_COLUMNS, SourceSpec
 
 RAW = "__raw_description"
@@ -87,7 +88,7 @@ def prepare(
     raw: DataFrame, spec: SourceSpec, vocabulary: SkillVocabulary = STARTER,
 ) -> DataFrame:
     """Cleaned texts and the raw fields later stages need."""
-    raw = normalize_nulls(raw)
+    raw = spread(normalize_nulls(raw), *spec.order)
     description = field(raw, spec.description)
     text = html_to_text(description) if spec.html else description
     given = F.col(spec.given_skills) if spec.given_skills in raw.columns else F.lit(None)

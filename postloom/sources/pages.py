@@ -11,6 +11,7 @@ from postloom.functions import wordlists as W
 from postloom.functions.nulls import first_filled
 from postloom.functions.regex import SPACE, collapse, contains_any, let, strip
 from postloom.functions.text import decode_entities, html_to_text
+from postloom.operators.spread import spread
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,8 @@ class LinkRules:
     social: tuple[str, ...] = tuple(W.SOCIAL_LINK_HOSTS)
 
 
+MAX_CHARS = 2**31 - 1  # "to the end" for substring
+
 _HREF = r"""(?is)<a\b[^>]*?[\s"']href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
@@ -70,8 +73,7 @@ def element_html(html: Column, tag: str, attribute: str) -> Column:
     Elements of the same tag nest, so the closing tag is the one where the depth
     returns to zero.  An element that is never closed reaches to the end.
     """
-    rest = F.regexp_extract(html, rf"(?is)<{tag}\b{attribute}[^>]*>(.*)\z", 1)
-    found = html.rlike(rf"(?is)<{tag}\b{attribute}[^>]*>")
+    rest = F.regexp_extract(html, rf"(?is)<{tag}\b{attribute}[^>]*(>.*)\z", 1)
 
     def inner(pieces: Column) -> Column:
         # depth after each piece; the first piece is inside the element
@@ -86,10 +88,10 @@ def element_html(html: Column, tag: str, attribute: str) -> Column:
 
         start = F.struct(F.lit(1).alias("depth"), F.lit(True).alias("open"), F.lit(0).alias("n"))
         n = F.aggregate(pieces, start, step, lambda s: s["n"])
-        return F.array_join(F.slice(pieces, 1, n), "")
+        return F.substring(F.array_join(F.slice(pieces, 1, n), ""), 2, MAX_CHARS)
 
-    pieces = F.split(rest, rf"(?i)(?=</?{tag}\b)")
-    return F.when(found, let(pieces, inner))
+    return let(rest, lambda r: F.when(
+        r != "", let(F.split(r, rf"(?i)(?=</?{tag}\b)"), inner)))
 
 
 def _with_class(name: str) -> str:
@@ -124,7 +126,7 @@ def page_postings(pages: DataFrame, extracted_at: Column, source: str = "tanqeeb
     """
     html, ld = F.col("html"), F.col("__ld")
     others = [c for c in pages.columns if c not in ("url", "html")]
-    staged = pages.select(*others, "url", "html", json_ld_posting(html).alias("__ld"))
+    staged = spread(pages, "url").select(*others, "url", "html", json_ld_posting(html).alias("__ld"))
     no_sep = lambda element: html_to_text(element, "")
     default = F.lit(W.NOT_SPECIFIED)
     title = F.coalesce(
