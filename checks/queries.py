@@ -42,17 +42,23 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _view(sql: str, *names: str) -> Query:
-    return lambda spark, sf: spark.sql(sql, **{n: table(spark, sf, n) for n in names})
+def text_table(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    """Table whose long texts are worked on: small files are spread over the cores."""
+    return spread(table(spark, sf, name), key)
 
 
-postings_view = _view(inputs.POSTINGS, "documents", "customer")
-date_texts = _view(inputs.DATE_TEXTS, "orders")
-posting_pages = _view(inputs.POSTING_PAGES, "pages")
+def _view(sql: str, **keys: str | None) -> Query:
+    def read(spark: SparkSession, sf: str) -> DataFrame:
+        return spark.sql(sql, **{
+            n: text_table(spark, sf, n, k) if k else table(spark, sf, n)
+            for n, k in keys.items()})
 
+    return read
 
-def postings(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(postings_view(spark, sf), "record_no")
+
+postings = _view(inputs.POSTINGS, documents="doc_id", customer=None)
+date_texts = _view(inputs.DATE_TEXTS, orders=None)
+posting_pages = _view(inputs.POSTING_PAGES, pages="page_id")
 
 
 def stamp(column: str) -> Column:
@@ -66,7 +72,7 @@ def joined(column: str) -> Column:
 # ------------------------------------------------------------------ raw records
 def raw_records(spark: SparkSession, sf: str, source: str) -> DataFrame:
     """Postings under the column names of a source."""
-    p = postings_view(spark, sf)
+    p = postings(spark, sf)
     c = F.col
     shapes = {
         "tapneo": {
@@ -137,7 +143,7 @@ def _column(name: str, value: Callable[[], Column], source: Query = postings) ->
 
 
 _c = F.col
-html_text: Query = lambda spark, sf: spread(table(spark, sf, "pages"), "page_id").select(
+html_text: Query = lambda spark, sf: text_table(spark, sf, "pages", "page_id").select(
     "page_id", text.html_to_text(_c("html")).alias("body"))
 clean_description = _column("body", lambda: text.clean_description(_c("description")))
 clean_title = _column("job_title", lambda: text.clean_title(_c("title")))
@@ -202,7 +208,7 @@ def term_matches(spark: SparkSession, sf: str) -> DataFrame:
         F.explode(F.split("p_name", " ")).alias("term")).unionByName(
         table(spark, sf, "documents").select(
             F.lower(F.regexp_extract("text", r"([A-Za-z]+ [a-z]+)", 1)).alias("term")))
-    texts = table(spark, sf, "documents").select("doc_id", "text")
+    texts = text_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
     return match_terms(texts, "doc_id", "text", terms.where("term <> ''").distinct(), n_words=2)
 
 

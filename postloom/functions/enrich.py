@@ -6,24 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
-from postloom.functions.regex import contains_any, let
-
-
-def _first_level(text: Column, levels: dict[str, list[str]]) -> Column:
-    chain = None
-    for level, spellings in levels.items():
-        test, value = contains_any(text, spellings), F.lit(level)
-        chain = F.when(test, value) if chain is None else chain.when(test, value)
-    return chain
+from postloom.functions.regex import by_spelling, first_listed
 
 
 def employment_type(declared: Column, description: Column) -> Column:
     """First of part-time, contract, full-time named in either text."""
     text = F.lower(F.concat_ws(" ", declared, description))
-    found = let(text, lambda t: _first_level(t, W.EMPLOYMENT_SPELLINGS))
+    found = first_listed(text, by_spelling(W.EMPLOYMENT_SPELLINGS))
     return F.coalesce(found, F.lit(W.DEFAULT_EMPLOYMENT))
 
 
 def education(description: Column) -> Column:
     """Lowest degree named in the description, or NULL."""
-    return let(F.lower(description), lambda t: _first_level(t, W.EDUCATION_SPELLINGS))
+    return first_listed(F.lower(description), by_spelling(W.EDUCATION_SPELLINGS))

@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postloom.functions.regex import strip
+from postloom.functions.regex import SPACE_CHARACTERS
 from postloom.functions.wordlists import NULL_WORDS
 
 
 def null_words_to_null(value: Column) -> Column:
-    """``NaN``, ``NaT`` and ``None`` written as text are missing values."""
+    """``NaN``, ``NaT`` and ``None`` written as text are missing values.
+
+    ``from_json`` reads a bare NaN token into a text column with quotes around it.
+    """
     # the length test keeps long texts from being lower-cased
-    trimmed = strip(value)
+    trimmed = F.btrim(value, F.lit(SPACE_CHARACTERS + '"'))
     is_word = (F.length(trimmed) <= max(map(len, NULL_WORDS))) & F.lower(trimmed).isin(NULL_WORDS)
     return F.when(~is_word, value)
 

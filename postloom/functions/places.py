@@ -6,16 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
-from postloom.functions.regex import SPACE, contains_any, let, strip
+from postloom.functions.regex import (
+    SPACE, by_spelling, contains_any, first_listed, let, strip,
+)
 
 
 def clean_city(location: Column) -> Column:
     """City named in a location text; NULL for job platforms and unknown places."""
     def lookup(text: Column) -> Column:
-        chain = F.when(contains_any(text, W.JOB_PLATFORMS), F.lit(None).cast("string"))
-        for city, spellings in W.CITY_SPELLINGS.items():
-            chain = chain.when(contains_any(text, spellings), F.lit(city))
-        return chain
+        city = first_listed(text, by_spelling(W.CITY_SPELLINGS))
+        return F.when(~contains_any(text, W.JOB_PLATFORMS), city)
 
     return let(F.lower(location), lookup)
 

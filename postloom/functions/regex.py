@@ -92,6 +92,18 @@ def contains_any(text: Column, words: Iterable[str]) -> Column:
     return let(text, lambda t: F.exists(listed, lambda w: t.contains(w)))
 
 
+def first_listed(text: Column, values: dict[str, str]) -> Column:
+    """Value of the first key, in the given order, that occurs in the text."""
+    keys = word_array(values)
+    hit = let(text, lambda t: F.get(F.filter(keys, lambda k: t.contains(k)), F.lit(0)))
+    return F.try_element_at(word_map(values), hit)
+
+
+def by_spelling(levels: dict[str, list[str]]) -> dict[str, str]:
+    """``value -> spellings`` turned round, keeping the order."""
+    return {s: value for value, spellings in levels.items() for s in spellings}
+
+
 def strip(text: Column) -> Column:
     """Trim all Unicode space, not only the ASCII blank that ``trim`` removes."""
     return F.btrim(text, F.lit(SPACE_CHARACTERS))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
 from postloom.functions.regex import (
-    SPACE, WORD, collapse, contains_any, let, one_of, quote, strip, word_array, word_map,
+    SPACE, WORD, collapse, contains_any, first_listed, let, one_of, quote, strip, word_map,
 )
 
 # --------------------------------------------------------------------------
@@ -149,15 +149,13 @@ def title_from_description(description: Column) -> Column:
 
         return let(F.regexp_extract(text, _INLINE_TITLE, 1), tidy)
 
-    roles = ranked_roles()
-    titles = word_map({role: role.title() for role in roles})
+    titles = {role: role.title() for role in ranked_roles()}
 
     def choose(lowered: Column) -> Column:
-        longest = F.get(F.filter(word_array(roles), lambda r: lowered.contains(r)), F.lit(0))
         return (
             F.when(contains_any(lowered, W.NON_TECH_PHRASES), F.lit(W.DEFAULT_TITLE))
             .otherwise(F.coalesce(
-                F.try_element_at(titles, longest),
+                first_listed(lowered, titles),
                 F.when(lowered.contains("title"), inline(strip(description))))))
 
     return F.coalesce(let(F.lower(description), choose), F.lit(W.DEFAULT_TITLE))

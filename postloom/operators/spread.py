@@ -1,19 +1,29 @@
-"""Use all cores for expensive per-row work on few input splits."""
+"""Use all cores for expensive per-row work on a small input."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# What one task reads: Spark's default split size, as a file holds it.
+SPLIT_BYTES = 128 * 1024 * 1024
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition by a unique key, but only when there are fewer splits than cores.
 
-    A small or badly split file would leave most of the cluster idle while one
-    task cleans all texts.  A large input has many splits per core and is left
-    alone: no shuffle is added there.  Splits of a file with one row group can be
-    empty, hence the factor.
+def estimated_bytes(df: DataFrame) -> int:
+    """Size the optimizer expects; for a scan that is the size of its files.
+
+    Reads the plan's statistics only: nothing is executed or listed again.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a scan by a unique key, but only if it is too small for the cores.
+
+    A small file, or a file with one row group, would leave most of the cluster
+    idle while one task cleans all texts.  An input with at least one split per
+    core is left alone: no shuffle is added there.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() > 4 * cores:
-        return df
-    return df.repartition(cores, *keys)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.isStreaming or estimated_bytes(scan) >= cores * SPLIT_BYTES:
+        return scan
+    return scan.repartition(cores, *keys)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from postloom.functions.regex import NO_WORD_BEFORE, WORD, WORD_AFTER, WORD_BEFORE, let
 from postloom.functions.skills import skill_text
-from postloom.operators.spread import spread
 
 
 def _phrases(text: Column, n_words: int) -> Column:
@@ -40,6 +39,6 @@ def match_terms(
     vocabulary only while it is under the broadcast threshold, and splits a phrase
     that most texts share (adaptive skew join) otherwise.
     """
-    phrases = spread(df.select(key, text), key).select(
+    phrases = df.select(
         key, F.explode(_phrases(skill_text(F.col(text)), n_words)).alias(term))
     return phrases.join(terms.select(term).distinct(), term).select(key, term)

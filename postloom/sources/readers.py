@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postloom.functions.nulls import normalize_nulls
+from postloom.operators.spread import spread
 
 # Analysis errors that mean "there is nothing to read there".
 _ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND"}
@@ -36,7 +37,7 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         records = files.select(F.posexplode(F.from_json("value", T.ArrayType(schema))))
         return records.select(F.col("pos").cast("long").alias("record_no"), "col.*")
 
-    return normalize_nulls(_or_empty(spark, numbered, read))
+    return spread(normalize_nulls(_or_empty(spark, numbered, read)), "record_no")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -72,7 +73,7 @@ def parse_raw(table: DataFrame, schema: T.StructType, payload: str = "raw_data")
         text = F.to_json(text)
     elif not isinstance(table.schema[payload].dataType, T.StringType):
         text = F.to_json(text)
-    rows = table.where(F.col(payload).isNotNull())
+    rows = spread(table, payload).where(F.col(payload).isNotNull())
     order = F.col("record_no") if "record_no" in table.columns else F.xxhash64(text)
     parsed = rows.select(order.alias("record_no"), F.from_json(text, schema).alias("r"))
     return normalize_nulls(parsed.where("r is not null").select("record_no", "r.*"))
