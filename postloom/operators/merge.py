@@ -13,6 +13,12 @@ FIRST, LAST, CHANGE = "first_seen", "last_seen", "change"
 ADDED, UPDATED, KEPT = "added", "updated", "kept"
 
 
+def record_key(*columns: str) -> Column:
+    """Key of a record as one text, for export; joins use the columns themselves."""
+    return F.concat_ws(
+        "||", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in columns])
+
+
 def _payload(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in (*keys, FIRST, LAST)]
 

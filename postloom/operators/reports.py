@@ -36,21 +36,23 @@ def link_report(links: DataFrame, seen: DataFrame, page: str = "page_no") -> Dat
     return running_total(per_page, page, "new_links", "total_new")
 
 
-def running_total(df: DataFrame, order: str, value: str, name: str, buckets: int = 64) -> DataFrame:
+def running_total(
+    df: DataFrame, order: str, value: str, name: str, width: int = 100_000,
+) -> DataFrame:
     """Cumulative sum over the whole frame without sorting it in one task.
 
-    Rows are put into ``buckets`` ranges of ``order``; each range is summed in its
-    own task and shifted by the total of the ranges before it (at most ``buckets``
-    rows, so that window is small).
+    ``order`` is a whole number.  Rows fall into ranges of ``width`` numbers; each
+    range is summed in its own task and shifted by the total of the ranges before
+    it.  Only the totals, one row per range, pass through a single task.
     """
-    ranged = df.repartitionByRange(buckets, order).withColumn("__part", F.spark_partition_id())
-    totals = ranged.groupBy("__part").agg(F.sum(value).alias("__sum"))
+    part = F.floor(F.col(order) / width)
+    totals = df.groupBy(part.alias("__part")).agg(F.sum(value).alias("__sum"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "__part", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
     within = Window.partitionBy("__part").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    summed = ranged.withColumn("__running", F.sum(value).over(within))
+    summed = df.withColumn("__part", part).withColumn("__running", F.sum(value).over(within))
     return (
         summed.join(offsets, "__part")
         .withColumn(name, F.col("__running") + F.col("__offset"))

@@ -37,8 +37,8 @@ def upsert_batch(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that adds a batch to the log."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        present = batch.where(F.greatest(*[F.col(k).isNotNull() for k in keys])
-                              if len(keys) > 1 else F.col(keys[0]).isNotNull())
+        # records without a key are not stored
+        present = batch.dropna(how="all", subset=list(keys))
         stamped = present.withColumns({FIRST: seen_at, LAST: seen_at})
         fold(stamped, keys, order).write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 

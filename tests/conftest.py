@@ -36,7 +36,7 @@ def evaluate(spark):
     return run
 
 
-def testdata(scale="sf0.001"):
+def tables(scale="sf0.001"):
     folder = f"/root/testdata/{scale}"
     if not os.path.isdir(folder):
         pytest.skip("no test tables here")
