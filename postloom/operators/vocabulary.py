@@ -13,17 +13,19 @@ def _phrases(text: Column, n_words: int) -> Column:
     """Distinct phrases of 1..n words at every word, captured by looking ahead.
 
     A phrase may also take the separators before or after it when a word touches
-    them, which is how terms like ``.net`` and ``c#`` match.
+    them, which is how terms like ``.net`` and ``c#`` match; as terms have no
+    blank at their ends, separators that would put one there are not tried.
     """
     word, gap = f"[{WORD}]++", f"[^{WORD}]++"
+    lead, trail = f"[^{WORD} ][^{WORD}]*+", f"[^{WORD}]*[^{WORD} ]"
     scans = []
     for more in range(n_words):
         body = word + f"(?:{gap}{word}){{{more}}}"
         scans += [
             f"{NO_WORD_BEFORE}(?=({body}))",
-            f"{NO_WORD_BEFORE}(?=({body}{gap}){WORD_AFTER})",
-            f"{WORD_BEFORE}(?=({gap}{body}))",
-            f"{WORD_BEFORE}(?=({gap}{body}{gap}){WORD_AFTER})",
+            f"{NO_WORD_BEFORE}(?=({body}{trail}){WORD_AFTER})",
+            f"(?=({lead}{body})){WORD_BEFORE}",
+            f"(?=({lead}{body}{trail}){WORD_AFTER}){WORD_BEFORE}",
         ]
     return let(text, lambda t: F.array_distinct(F.concat(*[
         F.regexp_extract_all(t, F.lit(scan), F.lit(1)) for scan in scans])))

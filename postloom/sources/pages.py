@@ -11,6 +11,7 @@ from postloom.functions import wordlists as W
 from postloom.functions.nulls import first_filled
 from postloom.functions.regex import SPACE, collapse, contains_any, let, strip
 from postloom.functions.text import decode_entities, html_to_text
+from postloom.operators.compute_once import compute_once
 
 
 @dataclass(frozen=True)
@@ -136,9 +137,18 @@ def page_postings(pages: DataFrame, extracted_at: Column, source: str = "tanqeeb
         element_html(html, "div", _with_value("data-jb-field", "description")))
     description = F.when(body.isNotNull(), html_to_text(body, "\n")).otherwise(
         html_to_text(ld["description"], "\n"))
-    records = staged.select(
+    # both are filtered on below: made once, see compute_once
+    staged = compute_once(
+        staged,
+        job_title=first_filled(ld["title"], no_sep(title), default),
+        job_description=strip(F.regexp_replace(description, rf"\n[{SPACE}]*\n", "\n")))
+    kept = staged.where(
+        (F.col("job_title") != W.NOT_SPECIFIED)
+        & (F.length("job_title") >= W.MIN_PAGE_TITLE_CHARS)
+        & (F.col("job_description") != ""))
+    return kept.select(
         *others,
-        first_filled(ld["title"], no_sep(title), default).alias("job_title"),
+        "job_title",
         first_filled(
             ld["hiringOrganization"]["name"],
             no_sep(element_html(html, "a", _with_class("job-meta-company"))), default,
@@ -146,12 +156,8 @@ def page_postings(pages: DataFrame, extracted_at: Column, source: str = "tanqeeb
         collapse(first_filled(place, F.lit(W.COUNTRY))).alias("location"),
         F.substring_index(F.coalesce(ld["datePosted"], default), "T", 1).alias("posted_date"),
         F.coalesce(ld["employmentType"], default).alias("employment_type"),
-        strip(F.regexp_replace(description, rf"\n[{SPACE}]*\n", "\n")).alias("job_description"),
+        "job_description",
         F.col("url").alias("job_url"),
         F.lit(source).alias("source"),
         F.date_format(extracted_at, "yyyy-MM-dd HH:mm:ss").alias("extracted_at"),
     )
-    return records.where(
-        (F.col("job_title") != W.NOT_SPECIFIED)
-        & (F.length("job_title") >= W.MIN_PAGE_TITLE_CHARS)
-        & (F.col("job_description") != ""))
