@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
 from postloom.functions.regex import (
-    SPACE, WORD, collapse, contains_any, first_listed, let, one_of, quote, strip, word_map,
+    SPACE, SPACE_CHARACTERS, WORD, collapse, contains_any, first_listed, let, one_of, quote, strip, word_map,
 )
 
 # --------------------------------------------------------------------------
 # HTML
 # --------------------------------------------------------------------------
-_TAG_BODY = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
+# The bound keeps the matcher's stack flat; a tag with more quoted values ends at
+# its first ">".
+_TAG_BODY = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+){0,1000}+>"""
 # What separates two text nodes: comments, blocks without visible text, tags.
 HTML_BREAK = (
     r"(?is)<(?:!--.*?-->"
@@ -162,27 +164,49 @@ def title_from_description(description: Column) -> Column:
 
 
 _PLACES = one_of(W.TITLE_LOCATIONS)
-_DASH = rf"[{SPACE}]*[\-–,][{SPACE}]*"
-_TITLE_STEPS = [
+# Runs of space are taken whole and from their start, so that a title full of
+# blanks costs no more than another.
+_GAP = f"[{SPACE}]*+"
+_FIRST_GAP = f"(?<![{SPACE}]){_GAP}"
+_PLACE_AT_END = rf"{_FIRST_GAP}[\-–,]{_GAP}{_PLACES}"
+_LONG_TITLE = 1000
+_TITLE_FRONT = [
     # "... posted 3 days ago"
-    rf"(?iud)[{SPACE}]*[\-–,]?[{SPACE}]*{one_of(W.TITLE_POSTED_WORDS)}[{SPACE}]+.*$",
+    rf"(?iud){_FIRST_GAP}[\-–,]?{_GAP}{one_of(W.TITLE_POSTED_WORDS)}[{SPACE}]+.*$",
     # up to three places in front
     rf"(?iud)\A(?:{_PLACES}[,\-•–{SPACE}]+){{0,3}}",
-    # places at the end
-    rf"(?iud){_DASH}{_PLACES}(?:{_DASH}{_PLACES})*$",
+]
+_TITLE_BRACKETS = [
     # a bracket at the end that names a place or a working mode
-    rf"(?iud)[{SPACE}]*\([^)]*(?:{_PLACES}|{one_of(W.TITLE_BRACKET_WORDS)})[^)]*\)$",
+    rf"(?iud){_FIRST_GAP}\([^)]*(?:{_PLACES}|{one_of(W.TITLE_BRACKET_WORDS)})[^)]*\)$",
     # any other bracket
-    rf"[{SPACE}]*\([^)]*\)",
+    rf"{_FIRST_GAP}\([^)]*\)",
 ]
 
 
+def _without_places_at_end(title: Column) -> Column:
+    """All places after the last other word.
+
+    One pattern repeats over them; in a very long title, where the matcher would
+    recurse too deep, one place is taken off at a time.
+    """
+    at_once = rf"(?iud){_PLACE_AT_END}(?:{_GAP}[\-–,]{_GAP}{_PLACES})*$"
+    return let(title, lambda t: F.when(
+        F.length(t) <= _LONG_TITLE, F.regexp_replace(t, at_once, "")
+    ).otherwise(F.aggregate(
+        F.split(t, "[\\-–,]"), t,
+        lambda rest, _: F.regexp_replace(rest, rf"(?iud){_PLACE_AT_END}$", ""))))
+
+
 def clean_title(title: Column) -> Column:
     """Title without places, brackets and age; the given title if nothing is left."""
     text = title
-    for step in _TITLE_STEPS:
+    for step in _TITLE_FRONT:
+        text = F.regexp_replace(text, step, "")
+    text = _without_places_at_end(text)
+    for step in _TITLE_BRACKETS:
         text = F.regexp_replace(text, step, "")
-    text = F.regexp_replace(collapse(text), rf"\A[,\-{SPACE}]+|[,\-{SPACE}]+\z", "")
+    text = F.btrim(collapse(text), F.lit("-," + SPACE_CHARACTERS))
     return F.coalesce(F.nullif(text, F.lit("")), title)
 
 

@@ -32,6 +32,13 @@ def test_title_cleaning(evaluate):
         "Engineer"] * 4 + ["مهندس", "مهندس", "Engineer", "Engineer", "Riyadh", "(Remote)", None]
 
 
+def test_very_long_texts_do_not_break_the_matcher(evaluate):
+    assert evaluate(["Engineer" + ", Riyadh" * 900, "a" + " " * 5000], text.clean_title) == [
+        "Engineer", "a"]
+    tag = "<a " + 'x="1" ' * 5000 + ">text</a>"
+    assert evaluate([tag], text.html_to_text) == ["text"]
+
+
 def test_description_cleaning(evaluate):
     values = [
         "Job Summary: About the Role - text", "About the Role: Job Summary: text", "a<br>b",
