@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postloom.functions.regex import SPACE, is_blank, strip
+from postloom.functions.regex import is_blank, strip
 
 _ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹"
 _TIME = r"(?:[T ]+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)? ?(?:[AaPp][Mm])? ?(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?)?"
@@ -63,5 +63,3 @@ def relative_date(value: Column, as_of: dt.date, absolute_first: bool = False) -
         result = F.coalesce(parse_date(value), result)
     return F.date_format(result, "yyyy-MM-dd")
 
-
-__all__ = ["DATE_SHAPES", "SPACE", "days_ago", "format_date", "parse_date", "relative_date"]

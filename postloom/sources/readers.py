@@ -62,6 +62,12 @@ def read_landed(spark: SparkSession, root: str, source: str, schema: T.StructTyp
         lambda: spark.read.schema(with_day).json(f"{root}/source={source}"))
 
 
+def stream_landed(spark: SparkSession, root: str, source: str, schema: T.StructType) -> DataFrame:
+    """Landed days of a source as a stream: every new file is read once."""
+    with_day = T.StructType(schema.fields + [T.StructField("ingest_date", T.DateType())])
+    return spark.readStream.schema(with_day).json(f"{root}/source={source}")
+
+
 def parse_raw(table: DataFrame, schema: T.StructType, payload: str = "raw_data") -> DataFrame:
     """Records of a table with one semi-structured column (text or VARIANT).
 
@@ -69,9 +75,7 @@ def parse_raw(table: DataFrame, schema: T.StructType, payload: str = "raw_data")
     ``record_no`` is a hash of the payload: the same on every run and cluster.
     """
     text = F.col(payload)
-    if isinstance(table.schema[payload].dataType, T.VariantType):
-        text = F.to_json(text)
-    elif not isinstance(table.schema[payload].dataType, T.StringType):
+    if not isinstance(table.schema[payload].dataType, T.StringType):
         text = F.to_json(text)
     rows = spread(table, payload).where(F.col(payload).isNotNull())
     order = F.col("record_no") if "record_no" in table.columns else F.xxhash64(text)

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from postloom.sources import pages
+from postloom.sources import pages, readers, writers
 from postloom.streaming import links, upsert
 
 NOW = dt.datetime(2026, 9, 15)
@@ -93,6 +93,19 @@ def test_stream_equals_batch(spark, tmp_path):
     assert state_rows(upsert.current_state(spark, str(tmp_path / "compact"), ["url"], ["n"])) == EXPECTED
 
 
+def test_stream_of_landed_days(spark, tmp_path):
+    root, log = str(tmp_path / "raw"), str(tmp_path / "log")
+    schema = spark.createDataFrame([], "url string, title string, extracted_at string").schema
+    for day, title in ((1, "old"), (2, "new")):
+        run = spark.createDataFrame([("a", title, f"2026-01-0{day} 10:00:00")], schema)
+        writers.land(run, root, "jooble", dt.date(2026, 1, day))
+    stream = readers.stream_landed(spark, root, "jooble", schema)
+    upsert.start_upserts(stream, ["url"], ["extracted_at"], F.to_timestamp("extracted_at"), log,
+                         str(tmp_path / "cp")).awaitTermination()
+    assert state_rows(upsert.current_state(spark, log, ["url"], ["extracted_at"])) == [
+        ("a", "new", dt.datetime(2026, 1, 1, 10), dt.datetime(2026, 1, 2, 10))]
+
+
 def test_replayed_batch_counts_once(spark, tmp_path):
     log = str(tmp_path / "log")
     rows = spark.createDataFrame(PARTS[1], "url string, n long, title string, at timestamp")
