@@ -17,7 +17,8 @@ their row; an empty table gives an empty result; extra columns are not read.
 
 Scale: two shuffles of packed frequencies, no text. A pre-token that very many documents of a
 group share is spread over ``SALTS`` partitions, decided from the row itself. A group holds the
-documents of one Arrow batch, ``GROUP`` at most, so what one task adds up is bounded.
+documents of one Arrow batch, ``GROUP`` at most, so what one task adds up is bounded. Sums are
+formed before the second shuffle.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -36,7 +38,9 @@ from tokenizers import Tokenizer
 from postloom.llm.bpe import byte_alphabet
 from postloom.llm.common import utf8
 
-GROUP = 10_000  # documents of a group at most; places are 16-bit
+GROUP = 4_000  # documents of a group at most; places are 16-bit
+GROUP_BYTES = 16 << 20
+HELD = 2_000_000  # entries that a task adds up at once
 SALTS = 64
 SHARED = 256  # documents of a group from which a row is salted
 _AWKWARD = re.compile(r" \s|\s |[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
@@ -118,7 +122,7 @@ def frequencies(texts: list[str], path: str):
     return list(names), name, np.repeat(text, n), np.repeat(times, n), n_special
 
 
-_PACKED = pa.schema([("group", pa.int64()), ("pre_token", pa.string()), ("salt", pa.int32()),
+_PACKED = pa.schema([("group", pa.int64()), ("pre_token", pa.string()),
                      ("places", pa.binary()), ("times", pa.binary())])
 
 
@@ -141,21 +145,30 @@ def _packed(group: int, names: list[str], name: np.ndarray, text: np.ndarray,
     amount[last] = (total - (entries - 1) * 255).astype(np.uint8)
     name, text = np.divmod(np.repeat(code, entries), n_texts)
     edges = np.flatnonzero(np.diff(name, prepend=-1, append=-1))
-    many = np.diff(edges) >= SHARED
-    salt = np.where(many, 1 + (group * 0x9E3779B1 >> 7) % SALTS, 0)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.full(len(many), group)),
+        pa.array(np.full(len(edges) - 1, group)),
         pa.array(names, pa.string()).take(pa.array(name[edges[:-1]])),
-        pa.array(salt.astype(np.int32)),
         _binary(text.astype("<u2"), edges), _binary(amount, edges)], schema=_PACKED)
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``GROUP`` documents and, but for a single one, ``GROUP_BYTES`` bytes."""
+    start = size = 0
+    for i, n in enumerate(pc.binary_length(batch.column("data")).to_pylist()):
+        if i > start and (i - start >= GROUP or size + n > GROUP_BYTES):
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
 def _turned(path: str):
     """Batches (row, doc_id, data) -> packed rows by pre-token, and one row per group with its
     documents: null marks, ids, bytes and the tokens that need no join."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = pieces(path).vocab
-        for batch in (b.slice(i, GROUP) for b in batches for i in range(0, b.num_rows, GROUP)):
+        for batch in (g for b in batches for g in _groups(b)):
             data, ids = batch.column("data").to_pylist(), batch.column("doc_id").to_pylist()
             group = batch.column("row")[0].as_py()
             names, name, text, times, base = frequencies([d.decode() for d in data], path)
@@ -168,58 +181,72 @@ def _turned(path: str):
                 ids, data, base.tolist(), strict=True)], dtype="<i8")
             head = bytes(i is None for i in ids) + table.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([group]), pa.nulls(1, pa.string()), pa.array([0], pa.int32()),
+                [pa.array([group]), pa.nulls(1, pa.string()),
                  pa.array([head], pa.binary()), pa.nulls(1, pa.binary())], schema=_PACKED)
 
     return task
 
 
 def _counted(path: str):
-    """Sorted rows by pre-token -> the same rows with the pieces of their pre-token."""
-    schema = pa.schema([("group", pa.int64()), ("n", pa.int32()), ("places", pa.binary()),
-                        ("times", pa.binary())])
+    """Sorted rows by pre-token -> sums by group and place, the pieces of a pre-token counted
+    once. Sums are kept for ``HELD`` entries at most, then handed on."""
+    schema = pa.schema([("group", pa.int64()), ("head", pa.binary()), ("places", pa.binary()),
+                        ("sums", pa.binary())])
+
+    def handed(held: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        for group, parts in held.items():
+            where = np.frombuffer(b"".join(p for p, _, _ in parts), "<u2")
+            times = np.frombuffer(b"".join(t for _, t, _ in parts), "<u1")
+            n = np.repeat([n for _, _, n in parts], [len(t) for _, t, _ in parts])
+            sums = np.bincount(where, weights=times * n)
+            found = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([group]), pa.nulls(1, pa.binary()),
+                 pa.array([found.astype("<u2").tobytes()], pa.binary()),
+                 pa.array([sums[found].astype("<i8").tobytes()], pa.binary())], schema=schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = pieces(path).count
-        last, n = None, 0
+        last, n, size = None, 0, 0
+        held: dict[int, list] = defaultdict(list)
         for batch in batches:
-            found = []
-            for pre_token in batch.column("pre_token").to_pylist():
+            for group, pre_token, places, times in zip(
+                    *[batch.column(c).to_pylist() for c in _PACKED.names], strict=True):
                 if pre_token is None:
-                    found.append(0)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([group]), pa.array([places], pa.binary()),
+                         pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())], schema=schema)
                     continue
                 if pre_token != last:
                     last, n = pre_token, count(pre_token)
-                found.append(n)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("group"), pa.array(found, pa.int32()), batch.column("places"),
-                 batch.column("times")], schema=schema)
+                held[group].append((places, times, n))
+                size += len(times)
+                if size >= HELD:
+                    yield from handed(held)
+                    held.clear()
+                    size = 0
+        yield from handed(held)
 
     return task
 
 
 def _summed(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All rows of one group of documents -> one row per document."""
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    total = np.zeros(1 << 16, dtype=np.int64)
     head = b""
     for batch in rows:
-        for n, places, times in zip(*[batch.column(c).to_pylist()
-                                      for c in ("n", "places", "times")], strict=True):
-            if times is None:
-                head = places
-                continue
-            where = np.frombuffer(places, "<u2")
-            parts.append((where, np.frombuffer(times, "<u1").astype(np.int64) * n))
+        for first, places, sums in zip(*[batch.column(c).to_pylist() for c in (
+                "head", "places", "sums")], strict=True):
+            if first is not None:
+                head = first
+            else:
+                total[np.frombuffer(places, "<u2")] += np.frombuffer(sums, "<i8")
     size = len(head) // 25
     table = np.frombuffer(head, "<i8", offset=size).reshape(size, 3)
-    total = table[:, 2].astype(np.float64)
-    if parts:
-        total = total + np.bincount(np.concatenate([w for w, _ in parts]), weights=np.concatenate(
-            [k for _, k in parts]), minlength=size)
     missing = np.frombuffer(head, np.uint8, count=size).astype(bool)
     yield pa.RecordBatch.from_arrays(
         [pa.array(table[:, 0], pa.int64(), mask=missing), pa.array(table[:, 1], pa.int64()),
-         pa.array(total.astype(np.int64), pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+         pa.array(table[:, 2] + total[:size], pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
 
 def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id",
@@ -228,10 +255,12 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), utf8(text).alias("data"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     turned = rows.mapInArrow(
-        _turned(path), "group long, pre_token string, salt int, places binary, times binary")
-    together = turned.repartition("pre_token", F.when(
-        F.col("pre_token").isNull(), F.col("group")).otherwise(F.col("salt"))
-    ).sortWithinPartitions("pre_token")
-    counted = together.mapInArrow(_counted(path), "group long, n int, places binary, times binary")
+        _turned(path), "group long, pre_token string, places binary, times binary")
+    shared = F.octet_length("places") >= 2 * SHARED
+    salt = F.when(F.col("pre_token").isNull(), F.col("group")).when(
+        shared, F.pmod(F.xxhash64("group"), F.lit(SALTS))).otherwise(F.lit(-1))
+    together = turned.repartition("pre_token", salt).sortWithinPartitions("pre_token")
+    counted = together.mapInArrow(
+        _counted(path), "group long, head binary, places binary, sums binary")
     return counted.groupBy("group").applyInArrow(
         _summed, "doc_id long, n_bytes long, n_tokens long")
