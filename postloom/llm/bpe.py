@@ -34,7 +34,7 @@ from tokenizers import Tokenizer
 
 from postloom.llm.common import arrow_rows, utf8
 
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 #: Characters whose class, case or form may differ between Unicode versions, a final sigma,
 #: and controls that Python alone takes for white space: texts with them are prepared and cut
 #: into words by the tokenizers library itself.

@@ -25,12 +25,22 @@ def ascii_words(data: bytes | None) -> list[bytes]:
     return data.translate(_WORD_BYTES).split() if data else []
 
 
+ROWS_AT_ONCE, BYTES_AT_ONCE = 1000, 4 << 20
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of an Arrow batch that bound what a task holds as Python objects."""
+    rows = max(1, min(ROWS_AT_ONCE, batch.num_rows * BYTES_AT_ONCE // max(1, batch.nbytes)))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def arrow_rows(
     df: DataFrame, make: Callable[..., Iterable[dict[str, list]]], schema: str
 ) -> DataFrame:
-    """Run ``make(columns as lists) -> dicts of columns`` on every Arrow batch of ``df``.
+    """Run ``make(columns as lists) -> dicts of columns`` on small parts of ``df``.
 
-    ``make`` sees bounded batches only and keeps nothing between them.
+    ``make`` sees bounded parts only and keeps nothing between them.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string
@@ -41,7 +51,7 @@ def arrow_rows(
     names = df.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             for out in make(*[batch.column(n).to_pylist() for n in names]):
                 arrays = [pa.array(out[f.name], type=f.type) for f in target]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)
@@ -115,7 +125,7 @@ def with_columns_mapped(
     target = to_arrow_schema(schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             out = make(*[batch.column(n).to_pylist() for n in inputs])
             arrays = [
                 pa.array(out[f.name], type=f.type) if f.name in out else batch.column(f.name)

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import arrow_rows, labelled_sample, utf8
+from postloom.llm.common import arrow_rows, labelled_sample, slices, utf8
 
 PER_CLASS = 1200
 MAX_TRAIN_BYTES = 20_000
@@ -242,7 +242,7 @@ def keep_good(docs: DataFrame, model: Crf | None, text: str = "text") -> DataFra
     def task(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = batch.column(text).to_pylist()
             good = [kept.value is None or kept.value.score((t or "").encode()) >= 0.5
                     for t in texts]

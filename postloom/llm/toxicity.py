@@ -40,7 +40,7 @@ MAX_TRAIN_BYTES = 20_000
 GRAMS = (4, 6)
 ORDINARY_BYTES, TOXIC_BYTES = 65536, 8192
 CUT = 0.3
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 CARRIER = bytes(1 + (i * 7 + i // 5) % 31 for i in range(48))
 
 
