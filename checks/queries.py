@@ -209,7 +209,7 @@ def term_matches(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "documents").select(
             F.lower(F.regexp_extract("text", r"([A-Za-z]+ [a-z]+)", 1)).alias("term")))
     texts = text_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
-    return match_terms(texts, "doc_id", "text", terms.where("term <> ''").distinct(), n_words=2)
+    return match_terms(texts, "doc_id", "text", terms.where("term <> ''").distinct())
 
 
 # ------------------------------------------------------------------ dedup, merge

@@ -15,9 +15,8 @@ from postloom.functions.regex import (
 # --------------------------------------------------------------------------
 # HTML
 # --------------------------------------------------------------------------
-# The bound keeps the matcher's stack flat; a tag with more quoted values ends at
-# its first ">".
-_TAG_BODY = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+){0,1000}+>"""
+# A possessive group is matched in a loop, so the matcher's stack stays flat.
+_TAG_BODY = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
 # What separates two text nodes: comments, blocks without visible text, tags.
 HTML_BREAK = (
     r"(?is)<(?:!--.*?-->"
@@ -91,6 +90,20 @@ _MARKS = f"[{SPACE}{quote(W.INTRO_MARKS)}]*+"
 _INTRO = r"(?iu)\A" + "".join(f"(?:{_MARKS}{p}{_MARKS})?+" for p in W.INTRO_PHRASES)
 
 
+_TITLE_PREFIX = rf"(?iu)\A(?:{'|'.join(W.TITLE_PREFIXES)})[{SPACE}]*"
+
+
+def _without_title(text: Column, title: Column) -> Column:
+    """Text without a leading "job title: <title>"; the title is compared as a literal."""
+    def cut(rest: Column) -> Column:
+        same = F.lower(F.substring(rest, F.lit(1), F.length(title))) == F.lower(title)
+        behind = F.regexp_replace(
+            F.substring(rest, F.length(title) + 1, F.length(rest)), rf"\A[{SPACE}]*", "")
+        return F.when(text.rlike(_TITLE_PREFIX) & same & (title != ""), behind).otherwise(text)
+
+    return let(F.regexp_replace(text, _TITLE_PREFIX, ""), cut)
+
+
 def clean_description(description: Column, job_title: Column | None = None) -> Column:
     """Plain description: no tags, introductions, bullets or mail hints.
 
@@ -100,11 +113,7 @@ def clean_description(description: Column, job_title: Column | None = None) -> C
     for entity, character in W.DESCRIPTION_ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
     if job_title is not None:
-        prefix = F.concat(
-            F.lit(r"(?iu)\A(?:" + "|".join(W.TITLE_PREFIXES) + rf")[{SPACE}]*\Q"),
-            job_title, F.lit(rf"\E[{SPACE}]*"))
-        text = F.when(F.coalesce(job_title, F.lit("")) == "", text).otherwise(
-            F.regexp_replace(text, prefix, F.lit("")))
+        text = _without_title(text, job_title)
     text = F.regexp_replace(text, _INTRO, "")
     text = F.translate(text, W.BULLET_MARKS, " " * len(W.BULLET_MARKS))
     text = F.regexp_replace(text, rf"(?iu)view email address on [^{SPACE}]+", "")
@@ -169,7 +178,6 @@ _PLACES = one_of(W.TITLE_LOCATIONS)
 _GAP = f"[{SPACE}]*+"
 _FIRST_GAP = f"(?<![{SPACE}]){_GAP}"
 _PLACE_AT_END = rf"{_FIRST_GAP}[\-–,]{_GAP}{_PLACES}"
-_LONG_TITLE = 1000
 _TITLE_FRONT = [
     # "... posted 3 days ago"
     rf"(?iud){_FIRST_GAP}[\-–,]?{_GAP}{one_of(W.TITLE_POSTED_WORDS)}[{SPACE}]+.*$",
@@ -187,15 +195,10 @@ _TITLE_BRACKETS = [
 def _without_places_at_end(title: Column) -> Column:
     """All places after the last other word.
 
-    One pattern repeats over them; in a very long title, where the matcher would
-    recurse too deep, one place is taken off at a time.
+    The repeated part is possessive, so that a title of any length is matched in a loop.
     """
-    at_once = rf"(?iud){_PLACE_AT_END}(?:{_GAP}[\-–,]{_GAP}{_PLACES})*$"
-    return let(title, lambda t: F.when(
-        F.length(t) <= _LONG_TITLE, F.regexp_replace(t, at_once, "")
-    ).otherwise(F.aggregate(
-        F.split(t, "[\\-–,]"), t,
-        lambda rest, _: F.regexp_replace(rest, rf"(?iud){_PLACE_AT_END}$", ""))))
+    return F.regexp_replace(
+        title, rf"(?iud){_PLACE_AT_END}(?:{_GAP}[\-–,]{_GAP}{_PLACES}(?={_GAP}(?:[\-–,]|$)))*+$", "")
 
 
 def clean_title(title: Column) -> Column:

@@ -1,29 +1,17 @@
-"""Use all cores for expensive per-row work on a small input."""
+"""Use all cores for expensive per-row work on an input of few partitions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# What one task reads: Spark's default split size, as a file holds it.
-SPLIT_BYTES = 128 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Size the optimizer expects; for a scan that is the size of its files.
-
-    Reads the plan's statistics only: nothing is executed or listed again.
-    """
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a scan by a unique key, but only if it is too small for the cores.
+    """Repartition a scan by a unique key, but only if it has fewer partitions than cores.
 
-    A small file, or a file with one row group, would leave most of the cluster
-    idle while one task cleans all texts.  An input with at least one split per
-    core is left alone: no shuffle is added there.
+    A single file, or a file with one row group, would leave most of the cluster idle
+    while one task cleans all texts. A scan with a partition for every core is left alone.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.isStreaming or estimated_bytes(scan) >= cores * SPLIT_BYTES:
+    if scan.isStreaming or scan.rdd.getNumPartitions() >= cores:
         return scan
     return scan.repartition(cores, *keys)

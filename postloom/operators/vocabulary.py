@@ -32,15 +32,17 @@ def _phrases(text: Column, n_words: int) -> Column:
 
 
 def match_terms(
-    df: DataFrame, key: str, text: str, terms: DataFrame, n_words: int, term: str = "term",
+    df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term",
 ) -> DataFrame:
     """``(key, term)`` for every vocabulary term that occurs in a text as whole words.
 
-    ``n_words`` is the largest number of words of a term.  Phrases are distinct per
+    The largest number of words of a term is found first.  Phrases are distinct per
     text before the join, and the join is a plain equi-join: Spark broadcasts the
     vocabulary only while it is under the broadcast threshold, and splits a phrase
     that most texts share (adaptive skew join) otherwise.
     """
+    words = F.size(F.regexp_extract_all(F.col(term), F.lit(f"[{WORD}]+"), F.lit(0)))
+    n_words = terms.agg(F.max(words)).first()[0] or 1
     phrases = df.select(
         key, F.explode(_phrases(skill_text(F.col(text)), n_words)).alias(term))
     return phrases.join(terms.select(term).distinct(), term).select(key, term)

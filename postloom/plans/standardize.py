@@ -83,11 +83,19 @@ def _city_text(df: DataFrame, spec: SourceSpec) -> Column:
     return place
 
 
+def _ordered(raw: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Records without an order of their own (lines, CSV, landed days) are ordered by a hash
+    of their content: the same on every run and cluster."""
+    if "record_no" not in spec.order or "record_no" in raw.columns:
+        return raw
+    return raw.withColumn("record_no", F.xxhash64(*raw.columns))
+
+
 def prepare(
     raw: DataFrame, spec: SourceSpec, vocabulary: SkillVocabulary = STARTER,
 ) -> DataFrame:
     """Cleaned texts and the raw fields later stages need."""
-    raw = normalize_nulls(raw)
+    raw = _ordered(normalize_nulls(raw), spec)
     description = field(raw, spec.description)
     text = html_to_text(description) if spec.html else description
     given = F.col(spec.given_skills) if spec.given_skills in raw.columns else F.lit(None)

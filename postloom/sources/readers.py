@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,21 +25,30 @@ def _or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Files that hold one JSON array each, with ``record_no`` = position in the file.
+    """Files that hold one JSON array each, with ``record_no`` = order of file and position.
 
     One file is one task, which fits the dumps of single runs; data at scale is
     landed as JSON lines or Parquet (see writers.land).  A broken file has no rows.
     """
-    numbered = T.StructType([T.StructField("record_no", T.LongType())] + schema.fields)
+    numbered = _numbered(schema)
 
     def read() -> DataFrame:
-        files = spark.read.text(path, wholetext=True)
-        records = files.select(F.posexplode(F.from_json("value", T.ArrayType(schema))))
-        return records.select(F.col("pos").cast("long").alias("record_no"), "col.*")
+        files = spark.read.text(path, wholetext=True).withColumn("__file", F.input_file_name())
+        # one row per file: its number, in the order of names
+        named = files.select("__file").distinct()
+        order = Window.orderBy("__file")
+        ranked = named.select("__file", (F.row_number().over(order) - 1).alias("__no"))
+        records = files.select("__file", F.posexplode(F.from_json("value", T.ArrayType(schema))))
+        place = F.col("__no") * F.lit(1 << 40).cast("long") + F.col("pos")
+        return records.join(ranked, "__file").select(place.alias("record_no"), "col.*")
 
     return spread(normalize_nulls(_or_empty(spark, numbered, read)), "record_no")
 
 
+def _numbered(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField("record_no", T.LongType())] + schema.fields)
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines, in splits of any size."""
     return normalize_nulls(
@@ -74,20 +83,22 @@ def parse_raw(table: DataFrame, schema: T.StructType, payload: str = "raw_data")
     Rows without a payload are left out.  Such a table has no order, so
     ``record_no`` is a hash of the payload: the same on every run and cluster.
     """
-    text = F.col(payload)
-    if not isinstance(table.schema[payload].dataType, T.StringType):
-        text = F.to_json(text)
-    rows = spread(table, payload).where(F.col(payload).isNotNull())
-    order = F.col("record_no") if "record_no" in table.columns else F.xxhash64(text)
-    parsed = rows.select(order.alias("record_no"), F.from_json(text, schema).alias("r"))
-    return normalize_nulls(parsed.where("r is not null").select("record_no", "r.*"))
+    rows = table.where(F.col(payload).isNotNull())
+    if isinstance(table.schema[payload].dataType, T.StringType):
+        record, identity = F.from_json(payload, schema), F.col(payload)
+    else:
+        record, identity = F.col(payload).try_cast(schema), F.to_json(payload)
+    order = F.col("record_no") if "record_no" in table.columns else F.xxhash64(identity)
+    parsed = rows.select(order.alias("record_no"), record.alias("r"))
+    parsed = normalize_nulls(parsed.where("r is not null").select("record_no", "r.*"))
+    return spread(parsed, "record_no")
 
 
 def load_raw(
     spark: SparkSession, table: str, schema: T.StructType, payload: str = "raw_data",
 ) -> DataFrame:
     """:func:`parse_raw` of a catalog table."""
-    numbered = T.StructType([T.StructField("record_no", T.LongType())] + schema.fields)
+    numbered = _numbered(schema)
     return _or_empty(spark, numbered, lambda: parse_raw(spark.table(table), schema, payload))
 
 

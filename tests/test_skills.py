@@ -88,7 +88,7 @@ def test_vocabulary_join_equals_search_per_term(spark):
     texts = ["".join(rng.choice(parts) + rng.choice(joins) for _ in range(15)) for _ in range(300)]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, v string")
     vocabulary = spark.createDataFrame([(t,) for t in terms], "term string")
-    found = match_terms(rows, "i", "v", vocabulary, n_words=3).collect()
+    found = match_terms(rows, "i", "v", vocabulary).collect()
     expected = {(i, t) for i, text in enumerate(texts) for t in per_term(text, terms)[0]}
     assert {(r["i"], r["term"]) for r in found} == expected
     assert len(found) == len(expected)
@@ -110,3 +110,12 @@ def test_stop_words_and_numbers_are_no_skills(evaluate):
 
 def test_fixed_lists_stay_small():
     assert len(W.STARTER_SKILLS) < 200
+
+
+def test_vocabulary_join_finds_terms_of_any_number_of_words(spark):
+    rows = spark.createDataFrame([(1, "uses amazon web services daily")], "i int, v string")
+    terms = spark.createDataFrame([("amazon web services",), ("uses",)], "term string")
+    assert sorted(r.term for r in match_terms(rows, "i", "v", terms).collect()) == [
+        "amazon web services", "uses"]
+    none = spark.createDataFrame([], "term string")
+    assert match_terms(rows, "i", "v", none).count() == 0

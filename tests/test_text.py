@@ -167,3 +167,22 @@ def test_foreign(evaluate):
     check = lambda c: predicates.is_foreign_posting(c, F.lit(None))
     assert evaluate(["US Citizen only", "united states", "Saudi", None], check) == [
         True, True, False, False]
+
+
+def test_tags_with_very_many_quoted_values(evaluate):
+    for n in (1_200, 100_000):
+        tag = "<div " + " ".join(['a="x>y"'] * n) + ">"
+        assert evaluate([f"<p>{tag}shown</div></p>"], text.html_to_text) == ["shown"]
+
+
+def test_title_with_very_many_places(evaluate):
+    title = "Engineer" + " - Riyadh, Jeddah" * 25_000
+    assert evaluate([title], text.clean_title) == ["Engineer"]
+
+
+def test_titles_are_no_patterns(evaluate):
+    title = r"a\E(b"
+    assert evaluate(
+        [f"Job title: {title} needed"],
+        lambda c: text.clean_description(c, F.lit(title))) == ["needed"]
+
