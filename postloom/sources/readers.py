@@ -40,9 +40,12 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         ranked = named.select("__file", (F.row_number().over(order) - 1).alias("__no"))
         records = files.select("__file", F.posexplode(F.from_json("value", T.ArrayType(schema))))
         place = F.col("__no") * F.lit(1 << 40).cast("long") + F.col("pos")
-        return records.join(ranked, "__file").select(place.alias("record_no"), "col.*")
+        rows = records.join(ranked, "__file").select(place.alias("record_no"), "col.*")
+        cores = spark.sparkContext.defaultParallelism
+        few = files.rdd.getNumPartitions() < cores
+        return rows.repartition(cores, "record_no") if few else rows
 
-    return spread(normalize_nulls(_or_empty(spark, numbered, read)), "record_no")
+    return normalize_nulls(_or_empty(spark, numbered, read))
 
 
 def _numbered(schema: T.StructType) -> T.StructType:
