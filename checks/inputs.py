@@ -28,7 +28,8 @@ SELECT d.doc_id AS record_no,
   || '</p><b>' || d.text || '</b>' AS description,
   CASE WHEN d.doc_id % 13 = 0 THEN '' WHEN d.doc_id % 17 = 0 THEN 'ftp://x/1'
     ELSE 'https://jobs.example.com/jobs/' || CAST(d.doc_id % 900 AS VARCHAR(20)) || '.html' END AS url
-FROM {documents} d LEFT JOIN {customer} c ON c.c_custkey = d.doc_id % 97
+FROM (SELECT *, doc_id % (SELECT max(c_custkey) + 1 FROM {customer}) AS custkey FROM {documents}) d
+LEFT JOIN {customer} c ON c.c_custkey = d.custkey
 """
 
 # Dates in several spellings, from the order dates.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,32 +11,51 @@ from pyspark.sql import functions as F
 from postloom.functions.regex import is_blank, strip
 
 _ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹"
-_TIME = r"(?:[T ]+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)? ?(?:[AaPp][Mm])? ?(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?)?"
-# (shape of the date part, format that reads it); month comes first in 1/2/2026
+_TIME = r"(?:[T ]+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)? ?(?:[AaPp][Mm])? ?(?:Z|[A-Z]{3,5}|[+-]\d{2}(?::?\d{2})?)?)?"
+_MONTH = (
+    r"(?i:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
+    r"|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)\.?")
+_GAP = r"(?: ?[,-] ?| )"
+# (shape of the date part, format that reads it); the month comes first in 1/2/2026, and
+# where it would be over 12 the day does
 DATE_SHAPES = [
     (r"\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d"),
     (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
     (r"\d{4}\.\d{1,2}\.\d{1,2}", "yyyy.M.d"),
     (r"\d{8}", "yyyyMMdd"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
+    (r"(?:1[3-9]|2\d|3[01])/\d{1,2}/\d{4}", "d/M/yyyy"),
+    (r"\d{1,2}/\d{1,2}/\d{2}", "M/d/yy"),
+    (r"(?:1[3-9]|2\d|3[01])/\d{1,2}/\d{2}", "d/M/yy"),
     (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
-    (r"[A-Z][a-z]{2} \d{1,2},? \d{4}", "MMM d yyyy"),
-    (r"[A-Z][a-z]{3,} \d{1,2},? \d{4}", "MMMM d yyyy"),
-    (r"\d{1,2} [A-Z][a-z]{2} \d{4}", "d MMM yyyy"),
-    (r"\d{1,2} [A-Z][a-z]{3,} \d{4}", "d MMMM yyyy"),
+    (r"(?:1[3-9]|2\d|3[01])-\d{1,2}-\d{4}", "d-M-yyyy"),
     (r"\d{4}-\d{1,2}", "yyyy-M"),
 ]
+# the same for months in letters, once they are cut to three of them
+NAMED_SHAPES = [
+    (rf"{_MONTH}{_GAP}\d{{1,2}}{_GAP}\d{{4}}", "MMM d yyyy"),
+    (rf"\d{{1,2}}{_GAP}{_MONTH}{_GAP}\d{{4}}", "d MMM yyyy"),
+    (rf"{_MONTH}{_GAP}\d{{4}}", "MMM yyyy"),
+]
+
+
+def _short_month(part: Column) -> Column:
+    """``05 AUGUST. 2026`` as ``05 Aug 2026``."""
+    words = F.trim(F.regexp_replace(part, r"[ ,.\-]+", " "))
+    return F.initcap(F.regexp_replace(words, r"([A-Za-z]{3})[A-Za-z]+", "$1"))
 
 
 def parse_date(value: Column) -> Column:
     """DATE in the text, or NULL.  A zoned time keeps its own local date."""
     text = F.regexp_replace(strip(value), r"\A[A-Z][a-z]{2}, (?=\d)", "")
-    attempts = []
-    for shape, fmt in DATE_SHAPES:
-        part = F.regexp_extract(text, rf"\A({shape}){_TIME}\z", 1)
-        part = F.nullif(F.replace(part, F.lit(","), F.lit("")), F.lit(""))
-        attempts.append(F.try_to_timestamp(part, F.lit(fmt)).cast("date"))
-    return F.coalesce(*attempts)
+
+    def attempt(shape: str, fmt: str, tidy: Callable[[Column], Column]) -> Column:
+        part = F.nullif(F.regexp_extract(text, rf"\A({shape}){_TIME}\z", 1), F.lit(""))
+        return F.try_to_timestamp(tidy(part), F.lit(fmt)).cast("date")
+
+    return F.coalesce(
+        *[attempt(shape, fmt, lambda part: part) for shape, fmt in DATE_SHAPES],
+        *[attempt(shape, fmt, _short_month) for shape, fmt in NAMED_SHAPES])
 
 
 def format_date(value: Column) -> Column:

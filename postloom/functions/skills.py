@@ -2,7 +2,7 @@
 
 The vocabulary is a parameter: any table with one term per row.  Its terms are
 folded into one zero-width pattern (:func:`whole_word_scans`), so a text is read
-once whatever the number of terms.  A vocabulary too large to fold is matched by
+once whatever the number of terms.  Terms that grow with the data are matched by
 a join instead, see :mod:`postloom.operators.vocabulary`.
 """
 
@@ -19,7 +19,6 @@ from postloom.functions.regex import (
     strip, whole_word_scans, word_array, word_map,
 )
 
-MAX_FOLDED_TERMS = 20_000
 _SEPARATORS = r"\-./+#"
 
 
@@ -33,14 +32,15 @@ class SkillVocabulary:
 
     @classmethod
     def from_table(cls, table: DataFrame, column: str = "term", **options) -> SkillVocabulary:
-        """Vocabulary from a table; refuses one that is too large to fold."""
+        """Vocabulary from a table of terms: a word list that people keep, not corpus rows.
+
+        All of it becomes part of the plan.  Terms drawn from a corpus, which grow with
+        it, are matched by :mod:`postloom.operators.vocabulary`.
+        """
         rows = (
             table.select(F.lower(strip(F.col(column))).alias("term"))
-            .where("term <> ''").distinct().limit(MAX_FOLDED_TERMS + 1).collect()
+            .where("term <> ''").distinct().collect()
         )
-        if len(rows) > MAX_FOLDED_TERMS:
-            raise ValueError(
-                f"more than {MAX_FOLDED_TERMS} terms: use operators.vocabulary.match_terms")
         return cls(tuple(sorted(r.term for r in rows)), **options)
 
     def versioned(self) -> SkillVocabulary:
@@ -88,14 +88,12 @@ def implied_skills(terms: tuple[str, ...]) -> dict[str, list[str]]:
     own = {t: [t] for t in terms}
     for spelling, skill in W.SKILL_ALIASES.items():
         own.setdefault(spelling, []).append(skill)
-    by_first_word: dict[str, list[str]] = {}
-    for spelling in own:
-        by_first_word.setdefault(spelling[:2], []).append(spelling)
     result = {}
     for spelling in own:
+        openings = [spelling[:n] for n in range(1, len(spelling) + 1)]
         reported = [
-            skill for other in by_first_word[spelling[:2]]
-            if _starts_with_word(spelling, other) for skill in own[other]
+            skill for other in openings
+            if other in own and _starts_with_word(spelling, other) for skill in own[other]
         ]
         if reported != [spelling]:
             result[spelling] = sorted(set(reported))

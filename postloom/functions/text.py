@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +27,10 @@ HTML_BREAK = (
 
 # entity name -> character; numbers 128-159 mean the Windows code page
 _ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+# the other names of HTML 5, looked up only where the common ones have no entry
+_RARE_ENTITIES = {
+    name.rstrip(";"): text for name, text in html5.items() if name.rstrip(";") not in _ENTITIES
+}
 _CODE_PAGE = {
     f"#{n}": bytes([n]).decode("cp1252", errors="replace") for n in range(128, 160)
 }
@@ -53,7 +57,9 @@ def _decode_after_ampersand(piece: Column) -> Column:
                        _from_code_point(code), F.lit("\ufffd")),
             tail_of(number)))
         .when(name != "", F.concat(
-            F.coalesce(F.try_element_at(word_map(_ENTITIES), name), F.concat(F.lit("&"), name)), tail_of(name)))
+            F.coalesce(F.try_element_at(word_map(_ENTITIES), name),
+                       F.try_element_at(word_map(_RARE_ENTITIES), name),
+                       F.concat(F.lit("&"), name)), tail_of(name)))
         .otherwise(F.concat(F.lit("&"), piece))
     )
 

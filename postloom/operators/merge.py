@@ -11,6 +11,7 @@ from postloom.operators.dedup import keep_last
 
 FIRST, LAST, CHANGE = "first_seen", "last_seen", "change"
 ADDED, UPDATED, KEPT = "added", "updated", "kept"
+_HASH, _KEY = "__hash", "__key"
 
 
 def record_key(*columns: str) -> Column:
@@ -23,11 +24,16 @@ def _payload(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in (*keys, FIRST, LAST)]
 
 
-def _join_on(keys: Sequence[str], left: str, right: str) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition &= F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
-    return condition
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys as one struct behind a hash of them.
+
+    A struct equals another also where fields are null, so a plain equi-join is
+    null-safe and meets the partitioning that ``keep_last`` leaves; sorting is mostly
+    decided by the hash, not by long texts.
+    """
+    return df.select(
+        F.xxhash64(*keys).alias(_HASH), F.struct(*keys).alias(_KEY),
+        *[c for c in df.columns if c not in keys])
 
 
 def merge_seen(
@@ -45,23 +51,29 @@ def merge_seen(
       key is missing or empty.
 
     Both sides hold one row per key when they meet, so one full outer equi-join
-    does it and no key can be hot.  ``order`` columns that the state does not have
+    does it and no key can be hot.  Every row is shuffled once: the batch by
+    ``keep_last``, whose partitioning the join takes over, and the state by the join.  ``order`` columns that the state does not have
     are used for ranking only.
     """
     if drop_empty_keys:
         for key in keys:
             batch = batch.where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "")
-    batch = keep_last(batch, keys, order)
     payload = _payload(existing, keys)
-    old = existing.select(*keys, *payload, FIRST, LAST).withColumn("__old", F.lit(True)).alias("o")
-    new = batch.select(*keys, *payload).withColumn("__new", F.lit(True)).alias("n")
+    ranked_by = [c for c in order if c not in (*keys, *payload)]
+    batch = batch.select(*keys, *payload, *ranked_by)
+    in_key = [f"{_KEY}.{c}" if c in keys else c for c in order]
+    batch = keep_last(_keyed(batch, keys), [_HASH, _KEY], in_key)
+    old = _keyed(existing.select(*keys, *payload, FIRST, LAST), keys).withColumn(
+        "__old", F.lit(True)).alias("o")
+    new = batch.select(_HASH, _KEY, *payload).withColumn("__new", F.lit(True)).alias("n")
     is_new, is_old = F.col("n.__new").isNotNull(), F.col("o.__old").isNotNull()
 
     def pick(column: str) -> Column:
         return F.when(is_new, F.col(f"n.{column}")).otherwise(F.col(f"o.{column}")).alias(column)
 
-    return old.join(new, _join_on(keys, "o", "n"), "full_outer").select(
-        *[pick(c) for c in (*keys, *payload)],
+    return old.join(new, [_HASH, _KEY], "full_outer").select(
+        *[F.col(_KEY)[k].alias(k) for k in keys],
+        *[pick(c) for c in payload],
         F.when(is_old, F.coalesce(F.col(f"o.{FIRST}"), now)).otherwise(now).alias(FIRST),
         F.when(is_new, now).otherwise(F.col(f"o.{LAST}")).alias(LAST),
         F.when(is_new & is_old, F.lit(UPDATED)).when(is_new, F.lit(ADDED))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.session import cut_lineage
+
 
 def skip_report(classified: DataFrame) -> DataFrame:
     """Dropped postings per source and reason."""
@@ -24,8 +26,10 @@ def link_report(links: DataFrame, seen: DataFrame, page: str = "page_no") -> Dat
 
     A link is new on the first page that has it, if it was not seen before.  The
     running total needs one ordered pass, but over one row per listing page only.
+    Links are found once: the distinct ones are checkpointed, as they are read twice,
+    and so are the counts per page.
     """
-    found = links.select(page, "url").distinct()
+    found = cut_lineage(links.select(page, "url").distinct())
     first_page = found.groupBy("url").agg(F.min(page).alias(page))
     fresh = first_page.join(seen.select("url"), "url", "left_anti")
     per_page = (
@@ -33,7 +37,7 @@ def link_report(links: DataFrame, seen: DataFrame, page: str = "page_no") -> Dat
         .join(fresh.groupBy(page).agg(F.count(F.lit(1)).alias("new_links")), page, "left")
         .fillna(0, ["new_links"])
     )
-    return running_total(per_page, page, "new_links", "total_new")
+    return running_total(cut_lineage(per_page), page, "new_links", "total_new")
 
 
 def running_total(

@@ -9,27 +9,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.operators.reports import running_total
+from postloom.session import cut_lineage
+
 
 def skill_demand(postings: DataFrame) -> DataFrame:
     """Postings per skill, their share of all postings, and rank.
 
-    One pass: every posting also counts once under no skill, which gives the
-    total.  Counts combine before the shuffle, so a skill named by every posting
-    is not a hot key; the ranking window sees one row per skill of the vocabulary.
+    One pass over the postings: each also counts once under no skill, which gives
+    the total.  Counts combine before the shuffle, so a skill named by every posting
+    is not a hot key.  The counts are checkpointed, one row per skill; ranks come from
+    the distinct counts in ranges, so no task sees all skills, however many free-text
+    skills the sources name.
     """
     with_total = F.array_append(
         F.coalesce(F.col("skills"), F.array().cast("array<string>")), F.lit(None))
-    counts = (
+    counts = cut_lineage(
         postings.select(F.explode(with_total).alias("skill"))
         .groupBy("skill").agg(F.count(F.lit(1)).alias("postings")))
-    total = F.max(F.when(F.col("skill").isNull(), F.col("postings"))).over(
-        Window.partitionBy(F.lit(0)))
-    ranked = counts.withColumn("total", total).where("skill is not null")
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("postings"))
-    return ranked.select(
+    total = counts.where("skill is null").first()
+    named = counts.where("skill is not null")
+    levels = named.groupBy((-F.col("postings")).alias("level")).agg(
+        F.count(F.lit(1)).alias("skills"))
+    ranks = running_total(levels, "level", "skills", "through").select(
+        (-F.col("level")).alias("postings"),
+        (F.col("through") - F.col("skills") + 1).alias("demand_rank"))
+    return named.join(ranks, "postings").select(
         "skill", "postings",
-        F.round(F.col("postings") / F.col("total"), 6).alias("share"),
-        F.rank().over(order).cast("long").alias("demand_rank"))
+        F.round(F.col("postings") / F.lit(total["postings"] if total else None), 6).alias("share"),
+        "demand_rank")
 
 
 def city_employment(postings: DataFrame) -> DataFrame:

@@ -83,6 +83,8 @@ def test_merge_with_null_keys(spark):
     assert rows(merged, "city", "title", "first_seen", "change") == [
         ("r", "x", T1, "added"), (None, "new", T0, "updated")]
     assert "CartesianProduct" not in plan(merged) and "NestedLoop" not in plan(merged)
+    # each side is shuffled once: the join takes over what keep_last left
+    assert plan(merged).count("Exchange hashpartitioning(") == 2
     fresh = merge.fresh_seen(batch, ["company", "city"], F.lit(T2), ["n"])
     assert rows(fresh, "city", "first_seen", "last_seen") == [("r", T2, T2), (None, T2, T2)]
 

@@ -4,7 +4,6 @@ import re
 from pyspark.sql import functions as F
 
 from postloom.functions import skills as S
-from postloom.functions import wordlists as W
 from postloom.operators.vocabulary import match_terms
 
 
@@ -108,8 +107,16 @@ def test_stop_words_and_numbers_are_no_skills(evaluate):
         ["office 365"]]
 
 
-def test_fixed_lists_stay_small():
-    assert len(W.STARTER_SKILLS) < 200
+def test_vocabulary_of_many_terms(spark, evaluate):
+    """No cap: 25,000 terms through the scan find what a search per term finds."""
+    terms = [f"{a}{n} {b}" if n % 5 == 0 else f"{a}{n}" for n in range(12_500)
+             for a, b in (("tool", "pro"), ("lib", "lite"))]
+    vocabulary = S.SkillVocabulary.from_table(
+        spark.createDataFrame([(t,) for t in terms], "term string"))
+    assert len(vocabulary.terms) == 25_000
+    body = "tool5 pro lib7 tool12499 lib10 tool12500 xlib8 lib12495 lite."
+    known = {t for t in terms if re.search(rf"(?<!\w){re.escape(t)}(?!\w)", body)}
+    assert evaluate([body], lambda c: S.extract_skills(c, vocabulary)) == [sorted(known)]
 
 
 def test_vocabulary_join_finds_terms_of_any_number_of_words(spark):

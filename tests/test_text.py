@@ -124,6 +124,20 @@ def test_dates(evaluate):
     assert evaluate(values, dates.format_date) == ["2026-08-05"] * 9 + [None] * 6
 
 
+def test_more_spellings_of_dates(evaluate):
+    day = ["25/12/2026", "12/25/2026", "12/25/26", "25-12-2026", "25/12/26", "dec 25 2026",
+           "25-Dec-2026", "Dec. 25, 2026", "25 DECEMBER 2026", "2026-12-25 10:00:00 EST",
+           "2026-12-25T10:00:00+03"]
+    assert evaluate(day, dates.format_date) == ["2026-12-25"] * len(day)
+    assert evaluate(["August 2026", "Sept 2026", "Decem 25 2026", "32 May 2026", "13/13/2026"],
+                    dates.format_date) == ["2026-08-01", "2026-09-01", None, None, None]
+
+
+def test_names_of_html_5(evaluate):
+    assert evaluate(["a&check;b &plus;&comma; &nosuch; &amp;&nbsp;x"], text.html_to_text) == [
+        "a✓b +, &nosuch &\xa0x"]
+
+
 def test_relative_dates(evaluate):
     day = dt.date(2026, 9, 15)
     values = ["3 days ago", "3 hours ago", "منذ ٣ أيام", None, "", "today", "2026-08-05"]
