@@ -7,8 +7,8 @@ a heap holds (rank, place) of mergeable neighbours; an entry whose symbols have
 is stale and skipped. Decoding concatenates vocabulary strings with spaces, as the file has
 no decoder of its own.
 
-Work on one word is kept in a bounded table of the Python worker, since words repeat; a
-text's ids are the concatenated ids of its words, packed as little-endian unsigned 32-bit.
+Work on words is kept in two bounded tables of the Python worker, since they repeat: full, the
+newer becomes the older, which goes. A text's ids are the concatenated ids of its words, packed as little-endian unsigned 32-bit.
 
 Defined cases: a null text is an empty one; an empty text has no ids and decodes to the empty
 text; rows that share an id each have their row; an empty table gives an empty result; extra
@@ -24,7 +24,6 @@ import heapq
 import json
 import struct
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
 import regex
@@ -34,13 +33,15 @@ from tokenizers import Tokenizer
 
 from postloom.llm.common import arrow_rows, utf8
 
-REMEMBERED = 200_000
+#: Words in each of the two tables of known words, of which the older goes; their length.
+REMEMBERED, REMEMBERED_LENGTH = 100_000, 64
 #: Characters whose class, case or form may differ between Unicode versions, a final sigma,
 #: and controls that Python alone takes for white space: texts with them are prepared and cut
 #: into words by the tokenizers library itself.
 UNSETTLED = (r"[^\x00-\x1b\x20-\u024f\u0391-\u03a1\u03a4-\u03c9\u0410-\u044f\u2010-\u2027"
              r"\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]|\u0130")
 _ID, _PLACE = 17, 32  # bits of an id; bits of a place in a word
+_PLACES = (1 << _PLACE) - 1
 
 
 def byte_alphabet() -> list[str]:
@@ -74,68 +75,81 @@ class WordBpe:
             [vocab[c + end] for c in alphabet] for end in ("", self.suffix))
         self.unsettled = regex.compile(UNSETTLED)
         self.library = Tokenizer.from_file(path)
-        self.merges: dict[int, int] = {}  # pair of ids -> rank and id
+        self.merges: dict[int, int] = {}  # pair of ids -> rank
+        self.made: list[int] = []  # rank -> id
         for rank, merge in enumerate(model["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[vocab[a] << _ID | vocab[b]] = rank << _ID | vocab[a + b]
-        self.remembered: dict[str, tuple[bytes, str]] = {}
+            self.merges[vocab[a] << _ID | vocab[b]] = rank
+            self.made.append(vocab[a + b])
+        # pair of bytes inside a word -> rank, or -1
+        self.first = {
+            (a, b): self.merges.get(x << _ID | y, -1)
+            for a, x in enumerate(self.symbol) for b, y in enumerate(self.symbol)}
+        self.recent: dict[str, tuple[bytes, str]] = {}
+        self.earlier: dict[str, tuple[bytes, str]] = {}
 
     def encode_word(self, data: bytes) -> list[int]:
         """Ids of one word: the neighbours of least rank, leftmost first, are merged."""
+        n = len(data)
+        # merge due at each place with its right neighbour; -1 for none
+        due = [r if r < 0 else r << _PLACE | i
+               for i, r in enumerate(map(self.first.get, zip(data, data[1:])))]
         ids = [self.symbol[b] for b in data]
         ids[-1] = self.last[data[-1]]
-        n = len(ids)
-        merges = self.merges.get
-        heap = []
-        for i in range(n - 1):
-            if (m := merges(ids[i] << _ID | ids[i + 1])) is not None:
-                heap.append(m >> _ID << _PLACE | i)
+        if n > 1:
+            m = self.merges.get(ids[-2] << _ID | ids[-1])
+            due[-1] = -1 if m is None else m << _PLACE | n - 2
+        heap = [entry for entry in due if entry >= 0]
         if not heap:
             return ids
+        due.append(-1)
+        merges, made_by, pop, push = self.merges.get, self.made, heapq.heappop, heapq.heappush
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heapq.heapify(heap)
         while heap:
-            entry = heapq.heappop(heap)
-            i = entry & (1 << _PLACE) - 1
-            j = after[i]
-            if j >= n or ids[i] < 0:
-                continue  # stale: merged into its left neighbour
-            m = merges(ids[i] << _ID | ids[j])
-            if m is None or m >> _ID != entry >> _PLACE:
+            entry = pop(heap)
+            i = entry & _PLACES
+            if due[i] != entry:
                 continue  # stale: one of the two has changed since
-            ids[i] = made = m & (1 << _ID) - 1
-            ids[j] = -1
+            j = after[i]
+            ids[i] = made = made_by[entry >> _PLACE]
+            ids[j] = due[j] = due[i] = -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
                 if (m := merges(made << _ID | ids[k])) is not None:
-                    heapq.heappush(heap, m >> _ID << _PLACE | i)
-            if (h := before[i]) >= 0 and (m := merges(ids[h] << _ID | made)) is not None:
-                heapq.heappush(heap, m >> _ID << _PLACE | h)
+                    due[i] = entry = m << _PLACE | i
+                    push(heap, entry)
+            if (h := before[i]) >= 0:
+                if (m := merges(ids[h] << _ID | made)) is not None:
+                    due[h] = entry = m << _PLACE | h
+                    push(heap, entry)
+                else:
+                    due[h] = -1
         return [x for x in ids if x >= 0]
 
-    def _words(self, words: list[bytes]) -> tuple[bytes, str]:
-        """Packed ids and space-joined strings of words."""
-        ids = [x for w in words for x in self.encode_word(w)]
-        return struct.pack(f"<{len(ids)}I", *ids), " ".join([self.strings[x] for x in ids])
-
-    def _plain(self, text: str) -> Iterator[tuple[bytes, str]]:
-        """The same for each stretch of a text without special tokens."""
+    def _word(self, word: str, data: bytes) -> tuple[bytes, str]:
+        """Packed ids of a word that was not met of late, and their joined strings."""
+        known = self.earlier.get(word)
+        if known is None:
+            ids = self.encode_word(data)
+            known = struct.pack(f"<{len(ids)}I", *ids), " ".join([self.strings[x] for x in ids])
+        if len(word) <= REMEMBERED_LENGTH:
+            if len(self.recent) >= REMEMBERED:
+                self.earlier, self.recent = self.recent, {}
+            self.recent[word] = known
+        return known
+
+    def _plain(self, text: str) -> list[tuple[bytes, str]]:
+        """The same for each word of a text without special tokens."""
         if self.unsettled.search(text):
             normal = self.library.normalizer.normalize_str(text)
             found = self.library.pre_tokenizer.pre_tokenize_str(normal)
-            yield self._words([bytes(map(self.byte_of.__getitem__, w)) for w, _ in found])
-            return
-        table = self.remembered
-        for chunk in unicodedata.normalize("NFC", text).lower().split():
-            known = table.get(chunk)
-            if known is None:
-                known = self._words([w.encode() for w in self.word.findall(chunk)])
-                if len(chunk) <= 64:
-                    if len(table) >= REMEMBERED:
-                        table.clear()
-                    table[chunk] = known
-            yield known
+            words = [bytes(map(self.byte_of.__getitem__, w)) for w, _ in found]
+            return [self.recent.get(w) or self._word(w, data)
+                    for w, data in zip([d.decode() for d in words], words)]
+        words = self.word.findall(unicodedata.normalize("NFC", text).lower())
+        return [self.recent.get(w) or self._word(w, w.encode()) for w in words]
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Packed ids of a text, and the text they decode to."""
