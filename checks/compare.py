@@ -12,8 +12,7 @@ from collections import Counter
 
 import duckdb
 
-from checks.oracle import ORACLES
-from checks.queries import QUERIES
+from checks.registry import ORACLES, QUERIES
 from postloom.session import build_session
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "

@@ -35,15 +35,24 @@ LEFT JOIN {customer} c ON c.c_custkey = d.custkey
 # Dates in several spellings, from the order dates.
 DATE_TEXTS = """
 SELECT o_orderkey AS record_no, o_orderdate,
-  CASE o_orderkey % 7
+  CASE o_orderkey % 16
     WHEN 0 THEN y || '-' || m || '-' || d WHEN 1 THEN y || '/' || m || '/' || d
     WHEN 2 THEN m || '/' || d || '/' || y WHEN 3 THEN y || m || d
     WHEN 4 THEN y || '-' || m || '-' || d || 'T23:30:00-08:00'
     WHEN 5 THEN ' ' || y || '-' || m || '-' || d || ' 10:15:00 '
-    ELSE 'posted ' || y END AS date_text
+    WHEN 6 THEN 'posted ' || y
+    WHEN 7 THEN CASE WHEN d > '12' THEN d || '/' || m || '/' || y ELSE m || '/' || d || '/' || y END
+    WHEN 8 THEN mon || ' ' || d || ', ' || y WHEN 9 THEN lower(mon) || ' ' || d || ' ' || y
+    WHEN 10 THEN d || '-' || mon || '-' || y WHEN 11 THEN mon || '. ' || d || ', ' || y
+    WHEN 12 THEN d || ' ' || upper(mon) || ' ' || y
+    WHEN 13 THEN y || '-' || m || '-' || d || ' 10:00:00 EST'
+    WHEN 14 THEN y || '-' || m || '-' || d || 'T10:00:00+03'
+    ELSE y || '-' || m || '-' || d || 'T23:30:00Z' END AS date_text
 FROM (SELECT o_orderkey, o_orderdate, CAST(year(o_orderdate) AS VARCHAR(4)) AS y,
         lpad(CAST(month(o_orderdate) AS VARCHAR(2)), 2, '0') AS m,
-        lpad(CAST(day(o_orderdate) AS VARCHAR(2)), 2, '0') AS d FROM {orders}) o
+        lpad(CAST(day(o_orderdate) AS VARCHAR(2)), 2, '0') AS d,
+        substr('JanFebMarAprMayJunJulAugSepOctNovDec',
+          CAST(3 * month(o_orderdate) - 2 AS INTEGER), 3) AS mon FROM {orders}) o
 """
 
 # Pages with posting markup written into them: JSON-LD as an object, as a list,

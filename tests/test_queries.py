@@ -5,8 +5,7 @@ from conftest import tables
 
 import __spark_entry__ as entry
 from checks.compare import connect, rows_of
-from checks.oracle import ORACLES
-from checks.queries import QUERIES
+from checks.registry import ORACLES, QUERIES
 from postloom.operators.compute_once import compute_once
 from postloom.operators.spread import spread
 
