@@ -9,13 +9,19 @@ into batches, and a replayed batch overwrites its own folder: exactly once.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-FIRST, LAST = "first_seen", "last_seen"
+from postloom.sources.readers import read_state
+
+FIRST, LAST, BATCH = "first_seen", "last_seen", "batch_id"
+VERSION = T.StructType([
+    T.StructField("through", T.LongType()), T.StructField("path", T.StringType())])
 
 
 def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -40,7 +46,7 @@ def upsert_batch(
         # records without a key are not stored
         present = batch.dropna(how="all", subset=list(keys))
         stamped = present.withColumns({FIRST: seen_at, LAST: seen_at})
-        fold(stamped, keys, order).write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+        fold(stamped, keys, order).write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
 
     return write
 
@@ -55,18 +61,47 @@ def start_upserts(
     return writer.trigger(availableNow=True).start() if once else writer.start()
 
 
+def _bases(log: str) -> str:
+    return f"{log}.bases"
+
+
+def _stored(spark: SparkSession, log: str) -> tuple[DataFrame, int]:
+    """Rows that the state folds, and the last batch of the base among them (-1: none).
+
+    The newest base stands for the batches up to its own; of the log only the folders of
+    later batches are read.
+    """
+    versions = read_state(spark, f"{_bases(log)}/versions", VERSION)
+    newest = versions.orderBy(F.desc("through"), F.desc("path")).first()
+    batches = spark.read.parquet(log)
+    if newest is None:
+        return batches, -1
+    later = batches.where(F.col(BATCH) > newest["through"])
+    return spark.read.parquet(newest["path"]).unionByName(later), newest["through"]
+
+
 def current_state(
     spark: SparkSession, log: str, keys: Sequence[str], order: Sequence[str],
 ) -> DataFrame:
-    """State = fold of the log; among equal ``order`` values the later batch wins."""
-    rows = spark.read.parquet(log)
-    return fold(rows, keys, [*order, "batch_id"]).drop("batch_id")
-
-
-def compact(
-    spark: SparkSession, log: str, keys: Sequence[str], order: Sequence[str], target: str,
-) -> None:
-    """Write the folded log as a new log with a single folder."""
-    rows = spark.read.parquet(log)
-    folded = fold(rows, keys, [*order, "batch_id"])
-    folded.write.mode("overwrite").partitionBy("batch_id").parquet(target)
+    """State = fold of base and log; among equal ``order`` values the later batch wins."""
+    return fold(_stored(spark, log)[0], keys, [*order, BATCH]).drop(BATCH)
+
+
+def compact(spark: SparkSession, log: str, keys: Sequence[str], order: Sequence[str]) -> int:
+    """Fold all batches but the last into a new base; returns the last batch it holds.
+
+    The last batch may still be written, so it stays in the log.  A base is a folder of its
+    own, and readers turn to it only once its row is added to the list of versions: a run
+    that dies before that changes nothing, and readers of the base before go on.
+    """
+    rows, through = _stored(spark, log)
+    # from the names of the folders, not from their rows
+    last = spark.read.parquet(log).agg(F.max(BATCH)).first()[0]
+    if last is None or last - 1 <= through:
+        return through
+    path = f"{_bases(log)}/{uuid.uuid4().hex}"
+    done = rows.where(F.col(BATCH) < last)
+    fold(done, keys, [*order, BATCH]).write.parquet(path)
+    version = spark.createDataFrame([(last - 1, path)], VERSION)
+    version.coalesce(1).write.mode("append").json(f"{_bases(log)}/versions")
+    return last - 1

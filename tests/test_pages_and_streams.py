@@ -88,9 +88,24 @@ def test_stream_equals_batch(spark, tmp_path):
     stream = spark.readStream.schema(schema).parquet(source)
     upsert.start_upserts(stream, ["url"], ["n"], F.col("at"), log, str(tmp_path / "cp")).awaitTermination()
     assert state_rows(upsert.current_state(spark, log, ["url"], ["n"])) == EXPECTED
-    # compaction keeps the state
-    upsert.compact(spark, log, ["url"], ["n"], str(tmp_path / "compact"))
-    assert state_rows(upsert.current_state(spark, str(tmp_path / "compact"), ["url"], ["n"])) == EXPECTED
+    # compaction keeps the state, and reading then leaves the batches of the base alone
+    last = spark.read.parquet(log).agg({"batch_id": "max"}).first()[0]
+    assert upsert.compact(spark, log, ["url"], ["n"]) == last - 1
+    state = upsert.current_state(spark, log, ["url"], ["n"])
+    assert state_rows(state) == EXPECTED
+    read = {r[0] for r in upsert._stored(spark, log)[0].select(F.input_file_name()).collect()}
+    assert {f.split("batch_id=")[1].split("/")[0] for f in read if "batch_id=" in f} == {str(last)}
+    assert any(".bases/" in f for f in read)
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert "(batch_id#" in plan and f"> {last - 1})" in plan.split("PartitionFilters", 2)[-1]
+    # nothing to add: no new base; a later batch is folded into the next one
+    assert upsert.compact(spark, log, ["url"], ["n"]) == last - 1
+    late = spark.createDataFrame([("a", "a9", 9, dt.datetime(2026, 2, 1))], "url string, title string, n int, at timestamp")
+    upsert.upsert_batch(["url"], ["n"], F.col("at"), log)(late.select(*schema.names), last + 1)
+    after = [("a", "a9", dt.datetime(2026, 1, 1), dt.datetime(2026, 2, 1)), *EXPECTED[1:]]
+    assert state_rows(upsert.current_state(spark, log, ["url"], ["n"])) == after
+    assert upsert.compact(spark, log, ["url"], ["n"]) == last
+    assert state_rows(upsert.current_state(spark, log, ["url"], ["n"])) == after
 
 
 def test_stream_of_landed_days(spark, tmp_path):
