@@ -118,6 +118,22 @@ def test_bpe_equals_the_library(spark):
         assert rows[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
 
 
+def test_bpe_when_tables_of_known_words_turn_over(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    rng = random.Random(4)
+    library, ours = Tokenizer.from_file(WORD_TOKENIZER), bpe.WordBpe(WORD_TOKENIZER)
+    known = ["the", "aaaa", "éçé", "antionstionan", "x" * 65, "abab" * 500, "1", "...", "漢字漢字"]
+    for _ in range(200):
+        text = " ".join(rng.choice(known) + "".join(rng.choices("abné", k=rng.randrange(4)))
+                        for _ in range(rng.randrange(12)))
+        packed, decoded = ours.encode(text)
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packed, "<u4").tolist() == ids
+        assert decoded == library.decode(ids, skip_special_tokens=False)
+        assert len(ours.recent) <= 5 and len(ours.earlier) <= 5
+        assert all(len(w) <= bpe.REMEMBERED_LENGTH for w in ours.recent)
+
+
 # ----------------------------------------------------------------------- simhash
 def brute_fingerprint(text):
     parts = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
