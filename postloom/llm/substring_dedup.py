@@ -7,8 +7,12 @@ hashed (white space folded). Runs of all documents meet in one hash aggregate; a
 two documents hold is kept in the document with the smallest id and removed in the others,
 and inside one document only its first place stays. A sentence goes if any run over it goes.
 
-Every passage of more than ``(SPAN - 1) * MAX_WORDS`` words that starts at a sentence has a
-run, whatever its sentences look like.
+Word windows find what sentences miss: passages of very short sentences, and those that start
+or end inside a sentence. Of every ``SPREAD`` consecutive hashes of ``GRAM`` words the smallest
+is kept, so every passage of ``GRAM + SPREAD - 1`` = 35 words that two documents hold, at any
+offset and whatever its sentences look like, has a kept hash in both. All words of a repeated
+window go, and a sentence is cut where the repeat begins and ends; fewer than ``SPREAD`` words
+of a passage may stay at either end of it. Inside one document every window counts.
 
 Defined cases: null text stays null; an empty text or one of fewer than ``SPAN`` sentences
 has no run; rows that share an id count as one document (their own repeats inside a row still
@@ -16,9 +20,9 @@ go); a null id counts as smaller than all others; an empty table gives an empty
 columns pass unchanged.
 
 Scale: the corpus is read twice and its text is shuffled once at most. What is grouped are
-(hash, id) pairs, one per run and document, combined before the shuffle, so a passage that a
+(hash, id) pairs, one per run or kept window and document, combined before the shuffle, so a passage that a
 third of all documents share costs one row per task there. No group is ever collected but the
-removed hashes of one document.
+removed hashes of one document. The pairs are written once.
 """
 
 from __future__ import annotations
@@ -35,10 +39,12 @@ from postloom.llm.common import arrow_rows, utf8, with_columns_mapped, written
 SPAN = 3
 MAX_WORDS = 20
 MIN_WORDS = 10
+GRAM, SPREAD = 20, 16
 NO_ID = -(2**63)
 
 _END = re.compile(rb"[.!?]+\s+|\n\s*")
 _WORD = re.compile(rb"\s*\S+\s*")
+_FACTOR = 0x9E3779B97F4A7C15
 
 
 def sentences(data: bytes) -> list[bytes]:
@@ -75,16 +81,79 @@ def run_hashes(parts: list[bytes]) -> list[int | None]:
     return out
 
 
+def gram_hashes(words: list[bytes]) -> np.ndarray:
+    """Signed 64-bit hash of the ``GRAM`` words that start at each word."""
+    n = len(words) - GRAM + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
+    digest = xxhash.xxh64_intdigest
+    one = np.array([digest(w, 1) for w in words], dtype=np.uint64)
+    out = np.zeros(n, dtype=np.uint64)
+    for i in range(GRAM):
+        out = out * np.uint64(_FACTOR) + one[i:i + n]
+    out ^= out >> np.uint64(31)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
+def kept_grams(hashes: np.ndarray) -> np.ndarray:
+    """The smallest of every ``SPREAD`` neighbours, each value once."""
+    if len(hashes) <= SPREAD:
+        return np.unique(hashes.min(keepdims=True)) if len(hashes) else hashes
+    return np.unique(np.lib.stride_tricks.sliding_window_view(hashes, SPREAD).min(axis=1))
+
+
+def _covered(n: int, words: np.ndarray) -> np.ndarray:
+    """Which of ``n`` words lie in a window that starts at one of ``words``."""
+    step = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(step, words, 1)
+    np.add.at(step, words + GRAM, -1)
+    return np.cumsum(step[:-1]) > 0
+
+
+def repeated_words(hashes: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Words of windows in ``gone``, or of windows that stand further in front in the text."""
+    n = len(hashes) + GRAM - 1
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    again = np.arange(len(hashes)) - first[which] >= GRAM
+    return _covered(n, np.flatnonzero(again | np.isin(hashes, gone)))
+
+
 def _scan(ids: list, texts: list):
     runs, owners = [], []
     for doc_id, data in zip(ids, texts, strict=True):
         found = {h for h in run_hashes(sentences(data)) if h is not None}
+        found.update(kept_grams(gram_hashes(data.split())).tolist())
         runs.extend(found)
         owners.append(np.full(len(found), doc_id, dtype=np.int64))
     if runs:
         yield {"run": np.array(runs, dtype=np.int64), "owner": np.concatenate(owners)}
 
 
+def _cut_at_words(
+    parts: list[bytes], drop: list[bool], words: np.ndarray
+) -> tuple[list[bytes], list[bool]]:
+    """Sentences cut where a stretch of repeated words begins or ends inside them."""
+    out: list[bytes] = []
+    flags: list[bool] = []
+    at = 0
+    for part, dropped in zip(parts, drop, strict=True):
+        n = len(part.split())
+        own = words[at:at + n]
+        at += n
+        if dropped or not n or own.all() or not own.any():
+            out.append(part)
+            flags.append(dropped or (n > 0 and bool(own.all())))
+            continue
+        pieces = _WORD.findall(part)
+        edges = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), n]
+        for a, b in zip(edges, edges[1:], strict=False):
+            out.append(b"".join(pieces[a:b]))
+            flags.append(bool(own[a]))
+    return out, flags
+
+
 def cut_runs(data: bytes, gone: set[int]) -> tuple[bytes, int, int]:
     """Text without the repeated sentences, number of sentences, number removed."""
     parts = sentences(data)
@@ -96,6 +165,11 @@ def cut_runs(data: bytes, gone: set[int]) -> tuple[bytes, int, int]:
         if h in gone or h in seen:
             drop[i:i + SPAN] = [True] * SPAN
         seen.add(h)
+    hashes = gram_hashes(data.split())
+    if len(hashes):
+        words = repeated_words(hashes, np.fromiter(gone, np.int64, len(gone)))
+        if words.any():
+            parts, drop = _cut_at_words(parts, drop, words)
     removed = sum(drop)
     if not removed:
         return data, len(parts), 0
@@ -106,8 +180,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """``docs`` with repeated sentences cut from ``text``; adds n_sentences and n_removed."""
     spark = docs.sparkSession
     owner = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
-    runs = arrow_rows(docs.select(owner.alias("id"), utf8(text).alias("data")), _scan,
-                      "run long, owner long")
+    runs = written(spark, arrow_rows(
+        docs.select(owner.alias("id"), utf8(text).alias("data")), _scan,
+        "run long, owner long"), "runs")
     first = runs.groupBy("run").agg(
         F.min("owner").alias("first"), F.max("owner").alias("last")
     ).where(F.col("first") < F.col("last")).drop("last")

@@ -79,6 +79,33 @@ def test_substring_dedup_equals_brute_force(spark):
         assert got[i] == b"".join(p for k, p in enumerate(parts) if k not in gone).decode()
 
 
+def test_no_passage_of_51_words_is_left_at_any_offset(spark):
+    rng = random.Random(12)
+
+    def own(n, mark):
+        return [f"{mark}{rng.randrange(10**6)}" for _ in range(n)]
+
+    texts, passages = [], []
+    for shape in range(30):
+        passage = own(51 + shape, "p")
+        if shape % 3 == 0:  # one-word sentences
+            passage = [w + rng.choice(".!") for w in passage]
+        passages.append(passage)
+        for copy in range(2):  # inside a sentence, at other offsets
+            texts.append(" ".join(own(rng.randrange(60), "a") + passage + own(rng.randrange(60), "z")))
+    rows = {r.doc_id: r for r in substring_dedup.remove_repeats(frame(spark, texts)).collect()}
+    for i, passage in enumerate(passages):
+        assert rows[2 * i].text == texts[2 * i]
+        left = rows[2 * i + 1].text.split()
+        assert sum(w in set(passage) for w in left) < 2 * substring_dedup.SPREAD
+        assert [w for w in left if w[0] != "p"] == [
+            w for w in texts[2 * i + 1].split() if w[0] != "p"]
+        assert 0 < rows[2 * i + 1].n_removed < rows[2 * i + 1].n_sentences
+    inside = " ".join(passages[1] + own(7, "m") + passages[1])
+    assert substring_dedup.cut_runs(inside.encode(), set())[0].decode().split() == (
+        inside.split()[:len(passages[1]) + 7])
+
+
 # ------------------------------------------------------------------ token counts
 def test_token_counts_equal_the_library(spark):
     rng = random.Random(1)
