@@ -75,6 +75,16 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(doc_id: str, text: str) -> list[Column]:
+    """Columns _k1, _k2: 128 bits that only rows with the same id and text share."""
+    parts = [F.col(doc_id).isNull(), F.col(doc_id), F.coalesce(F.col(text), F.lit(""))]
+    return [F.xxhash64(*parts).alias("_k1"), F.xxhash64(F.lit("second"), *parts).alias("_k2")]
+
+
+def with_row_key(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select("*", *row_key(doc_id, text))
+
+
 def bucket_of(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
 

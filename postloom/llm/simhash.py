@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import arrow_rows, utf8, written
+from postloom.llm.common import arrow_rows, row_key, utf8, with_row_key, written
 
 SHINGLE = 3
 SEED = 42
@@ -156,28 +156,52 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "doc_id", "fp", "component_id")
 
 
+def keep_first(docs: DataFrame, marked: DataFrame, doc_id: str = "doc_id",
+               text: str = "text") -> DataFrame:
+    """Of each component the row with the smallest id (null last), then the smallest text.
+
+    ``marked``: for each row of ``docs`` its ``row_key``, doc_id and component (root).
+    """
+    spark = docs.sparkSession
+    key = F.struct("_k1", "_k2")
+    by_id = marked.groupBy("root", "doc_id").agg(F.min(key).alias("k"), F.count("*").alias("n"))
+    best = by_id.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "k", "n")).alias("b"))
+    best = written(spark, best.select("root", "b.*"), "best")
+    keyed = with_row_key(docs, doc_id, text)
+    single = keyed.join(best.where("n = 1").select("k.*"), ["_k1", "_k2"], "left_semi")
+    single = single.drop("_k1", "_k2")
+    tied = best.where("n > 1").select("root", F.col("doc_id").alias("_id"))
+    if tied.isEmpty():
+        return single
+    tied = marked.join(tied, "root").where(F.col("doc_id").eqNullSafe(F.col("_id")))
+    tied = tied.select("_k1", "_k2", "root").distinct()
+    several = keyed.join(tied, ["_k1", "_k2"]).drop("_k1", "_k2").withColumn(
+        "_text", F.coalesce(text, F.lit("")))
+    least = several.groupBy("root").agg(F.min("_text").alias("_text"))
+    first = several.join(least, ["root", "_text"], "left_semi").dropDuplicates(["root"])
+    return single.unionByName(first.drop("_text", "root"))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents without near-duplicates: of each component the row with the smallest id.
 
-    Rows that share the kept id are told apart by their text; the smallest text stays.
-    Rows without id stay if their component has no id, one for each text.
+    Rows are told apart by id and text, so rows that share an id, or have none, only go if
+    another row of their own component stays.
     """
     spark = docs.sparkSession
-    marked = near_duplicates(docs, doc_id, text)
-    marked = written(spark, marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "kept")
-    counted = marked.groupBy("doc_id").agg(F.count("*").alias("_n"))
-    kept = docs.join(
-        counted.withColumnRenamed("doc_id", "_id"), F.col(doc_id).eqNullSafe(F.col("_id")))
-    single = kept.where("_n = 1").drop("_n", "_id")
-    if marked.count() == counted.count():
-        return single
-    several = kept.where("_n > 1").drop("_n", "_id")
-    first = several.groupBy(doc_id).agg(F.min(F.coalesce(text, F.lit(""))).alias("_least"))
-    same = several.withColumn("_text", F.coalesce(text, F.lit(""))).join(
-        first.withColumnRenamed(doc_id, "_id"),
-        F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_least")))
-    return single.unionByName(
-        same.drop("_text", "_least", "_id").dropDuplicates([doc_id]))
+    rows = arrow_rows(
+        docs.select(*row_key(doc_id, text), F.col(doc_id).cast("long").alias("doc_id"),
+                    utf8(text).alias("data")),
+        lambda k1, k2, ids, texts: [{"_k1": k1, "_k2": k2, "doc_id": ids, "fp": [
+            _signed(fingerprint(t)) for t in texts]}],
+        "_k1 long, _k2 long, doc_id long, fp long")
+    rows = written(spark, rows, "fingerprints")
+    fps = written(spark, rows.select("fp").distinct(), "fps")
+    roots = components(links(fps)).select(F.col("a").alias("fp"), F.col("b").alias("_b"))
+    marked = rows.join(roots, "fp", "left").withColumn("root", F.coalesce("_b", "fp"))
+    return keep_first(docs, written(
+        spark, marked.select("_k1", "_k2", "doc_id", "root"), "marked"), doc_id, text)
 
 
 def hex16(fp: str) -> Column:

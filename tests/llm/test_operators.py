@@ -212,6 +212,15 @@ def test_keep_one_handles_repeated_and_missing_ids(spark):
     assert simhash.keep_one(docs).columns == docs.columns
 
 
+def test_keep_one_keeps_a_row_of_each_component(spark):
+    texts = ["null one two three", "null four five six", "null four five six", "seven eight nine ten",
+             "shared id first text", "shared id second words", "of an id too", "of an id too"]
+    docs = frame(spark, texts, [None, None, None, None, 7, 7, 8, None])
+    kept = sorted((r.doc_id or -1, r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == sorted([(-1, texts[0]), (-1, texts[1]), (-1, texts[3]), (7, texts[4]),
+                           (7, texts[5]), (8, texts[6])])
+
+
 # ------------------------------------------------------------------ decontamination
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(6)
