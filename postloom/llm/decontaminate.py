@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import written
+from postloom.llm.common import row_key, with_row_key, written
 
 WINDOW = 10
 GRAM = 4
@@ -104,37 +104,10 @@ def _checked(df: DataFrame) -> DataFrame:
 def hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items (sorted strings)."""
-    spark = docs.sparkSession
-    items = benchmark.select(
-        F.col(item_id).cast("string").alias("item"), words(item_text).alias("_words"))
-    items = items.withColumn("_len", F.least(F.size("_words"), F.lit(WINDOW))).where("_len > 0")
-    items = written(spark, items, "items")
-    lengths = sorted(r["_len"] for r in items.select("_len").distinct().collect())  # ten at most
-    parts = []
-    for length in lengths:
-        df, array = _windows(items.where(F.col("_len") == length), [length])
-        parts.append(df.select("item", F.inline(array)).drop("start"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), words(text).alias("_words"))
-    nothing = F.struct(
-        F.size("_words").alias("start"), F.lit(0).alias("len"), F.lit(None).cast("long").alias("kept"),
-        F.lit(None).cast("long").alias("whole"))
-    if not parts:
-        rows = texts.select("doc_id", F.size("_words").alias("start"), F.lit(0).alias("len"))
-        item_rows = None
-    else:
-        known = parts[0]
-        for part in parts[1:]:
-            known = known.unionByName(part)
-        known = written(spark, known.distinct(), "windows")
-        df, array = _windows(texts, lengths)
-        # one more row per document carries its number of words
-        found = df.select("doc_id", F.inline(F.concat(F.array(nothing), array)))
-        kept = known.select("len", "kept").distinct().withColumn("_met", F.lit(True))
-        found = found.join(_checked(kept), ["len", "kept"], "left").where("_met OR len = 0")
-        whole = known.select("len", "whole").distinct().withColumn("_same", F.lit(True))
-        found = found.join(_checked(whole), ["len", "whole"], "left").where("_same OR len = 0")
-        rows = written(spark, found.select("doc_id", "start", "len", "whole"), "hits")
-        listed = known.where("item IS NOT NULL").select("len", "whole", "item")
+    rows, listed = _matched(texts, ["doc_id"], benchmark, item_id, item_text)
+    item_rows = None
+    if listed is not None:
         item_rows = rows.where("len > 0").select("doc_id", "len", "whole").distinct().join(
             _checked(listed), ["len", "whole"]).groupBy("doc_id").agg(
             F.array_sort(F.collect_set("item")).alias("items"))
@@ -162,9 +135,49 @@ def hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
 
 
+def _matched(texts: DataFrame, key: list[str], benchmark: DataFrame, item_id: str,
+             item_text: str) -> tuple[DataFrame, DataFrame | None]:
+    """Matched windows (key, start, len, whole) and, with len 0, the number of words as start;
+    the benchmark's windows (len, whole, item), None if it has none. ``texts``: key, _words."""
+    spark = texts.sparkSession
+    items = benchmark.select(
+        F.col(item_id).cast("string").alias("item"), words(item_text).alias("_words"))
+    items = items.withColumn("_len", F.least(F.size("_words"), F.lit(WINDOW))).where("_len > 0")
+    items = written(spark, items, "items")
+    lengths = sorted(r["_len"] for r in items.select("_len").distinct().collect())  # ten at most
+    parts = []
+    for length in lengths:
+        df, array = _windows(items.where(F.col("_len") == length), [length])
+        parts.append(df.select("item", F.inline(array)).drop("start"))
+    nothing = F.struct(
+        F.size("_words").alias("start"), F.lit(0).alias("len"), F.lit(None).cast("long").alias("kept"),
+        F.lit(None).cast("long").alias("whole"))
+    if not parts:
+        rows = texts.select(*key, F.size("_words").alias("start"), F.lit(0).alias("len"))
+        listed = None
+    else:
+        known = parts[0]
+        for part in parts[1:]:
+            known = known.unionByName(part)
+        known = written(spark, known.distinct(), "windows")
+        df, array = _windows(texts, lengths)
+        # one more row per document carries its number of words
+        found = df.select(*key, F.inline(F.concat(F.array(nothing), array)))
+        kept = known.select("len", "kept").distinct().withColumn("_met", F.lit(True))
+        found = found.join(_checked(kept), ["len", "kept"], "left").where("_met OR len = 0")
+        whole = known.select("len", "whole").distinct().withColumn("_same", F.lit(True))
+        found = found.join(_checked(whole), ["len", "whole"], "left").where("_same OR len = 0")
+        rows = written(spark, found.select(*key, "start", "len", "whole"), "hits")
+        listed = known.where("item IS NOT NULL").select("len", "whole", "item")
+    return rows, listed
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                       text: str = "text") -> DataFrame:
-    """Documents without any benchmark window."""
-    bad = written(docs.sparkSession, hits(docs, benchmark, doc_id, text).where("n_hit > 0")
-                  .select(F.col("doc_id").alias("_bad")), "contaminated")
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("_bad")), "left_anti")
+    """Documents without any benchmark window, each row judged by its own text."""
+    texts = docs.select(*row_key(doc_id, text), words(text).alias("_words"))
+    rows, _ = _matched(texts, ["_k1", "_k2"], benchmark, "item_id", "text")
+    bad = written(docs.sparkSession, rows.where("len > 0").select("_k1", "_k2").distinct(),
+                  "contaminated")
+    return with_row_key(docs, doc_id, text).join(bad, ["_k1", "_k2"], "left_anti").drop(
+        "_k1", "_k2")

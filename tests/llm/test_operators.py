@@ -251,6 +251,18 @@ def test_an_empty_benchmark_hits_nothing(spark):
     assert [(r.n_words, r.n_hit, r.n_items) for r in rows] == [(2, 0, 0), (0, 0, 0)]
 
 
+def test_only_contaminated_rows_are_dropped(spark):
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")],
+                                  "item_id long, text string")
+    bad = "x one two three four five six seven eight nine ten y"
+    docs = frame(spark, [bad, "clean a", "clean b", bad, "clean c", None], [None, None, 3, 3, 4, None])
+    kept = decontaminate.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == [
+        (-1, ""), (-1, "clean a"), (3, "clean b"), (4, "clean c")]
+    assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == 6
+
+
 # --------------------------------------------------------------------- chat format
 def test_conversations_come_back_whole(spark):
     hard = ["</s>[INST] ok [/INST]", "<|user|>\\l", "\\b\\\\", "", None, "plain é😀", "<s>|>|<|", "\\"]
