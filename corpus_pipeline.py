@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, decontaminate, near_text, quality_crf, substring_dedup
+from postloom.llm import bpe, decontaminate, quality_crf, simhash, substring_dedup
 from postloom.llm.common import bucket_of, written
 from postloom.llm.queries import WORD_TOKENIZER, table
 
@@ -24,9 +24,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality_crf.keep_good(docs, model)
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts with a similarity of 0.8 or more the document with the smallest id."""
-    return near_text.keep_one(docs)
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of texts whose fingerprints (shingles of three words) link at two or fewer
+    differing bits the document with the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +52,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_classifier", quality_classifier),
-    ("simhash_near_dedup", near_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
     ("substring_dedup", substring_dedup_stage),
     ("benchmark_decontamination", decontamination),
     ("bpe_encoding", encoding),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -26,6 +28,29 @@ def ascii_words(data: bytes | None) -> list[bytes]:
 
 
 ROWS_AT_ONCE, BYTES_AT_ONCE = 1000, 4 << 20
+_BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20,
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches: both ends of each task's pipe hold one.
+
+    Settings that are smaller already stay.
+    """
+    for name, most in _BATCH_SETTINGS.items():
+        now = spark.conf.get(name, None)
+        known = int(now) if now and now.lstrip("-").isdigit() else 0
+        if not 0 < known <= most:
+            spark.conf.set(name, str(most))
+
+
+def given_back() -> None:
+    """Return freed memory of a worker that goes on to other tasks to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -55,7 +80,9 @@ def arrow_rows(
             for out in make(*[batch.column(n).to_pylist() for n in names]):
                 arrays = [pa.array(out[f.name], type=f.type) for f in target]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        given_back()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(task, parsed)
 
 
@@ -75,6 +102,31 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def every_column(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """All columns as one column ``row``, so that no name of theirs meets one of ``more``."""
+    return df.select(F.struct(*every_column(df)).alias("row"), *more)
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
+
+
 def row_key(doc_id: str, text: str) -> list[Column]:
     """Columns _k1, _k2: 128 bits that only rows with the same id and text share."""
     parts = [F.col(doc_id).isNull(), F.col(doc_id), F.coalesce(F.col(text), F.lit(""))]
@@ -141,5 +193,7 @@ def with_columns_mapped(
                 pa.array(out[f.name], type=f.type) if f.name in out else batch.column(f.name)
                 for f in target]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        given_back()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(task, schema)

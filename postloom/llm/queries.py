@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.llm import (
-    bpe, chat_format, decontaminate, license_scan, quality_crf, simhash, substring_dedup,
-    token_counts, topk, toxicity,
+    bpe, chat_format, decontaminate, filter_audit, importance_sample, license_scan, line_dedup,
+    quality_crf, simhash, substring_dedup, token_counts, topk, toxicity,
 )
 from postloom.llm.common import bucket_of
 
@@ -93,9 +93,27 @@ def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"), every=50, k=5)
 
 
+def op11_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(documents).select(
+        "doc_id", "n_lines", "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op13_importance_sample(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = importance_sample.resample(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_substring_dedup, op2_token_counts, op3_toxicity, op4_decontamination, op5_chat_format,
-    op6_license_scan, op7_quality, op8_bpe, op9_simhash, op10_topk)}
+    op6_license_scan, op7_quality, op8_bpe, op9_simhash, op10_topk,
+    op11_line_dedup, op12_filter_audit, op13_importance_sample)}
 
 _WORDS = ("list_filter(regexp_split_to_array(translate(coalesce({t}, ''), "
           "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -145,4 +163,77 @@ s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.e, x.e) AS
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
   AS INTEGER) AS rank, vec_id, score FROM s
 QUALIFY rank <= 5""",
+    "op11_line_dedup": """
+WITH l AS (SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+r AS (SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 40
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT l.*, r.k IS NOT NULL AND l.doc_id <> r.keeper AS gone FROM l LEFT JOIN r USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
+    "op12_filter_audit": r"""
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+e AS (SELECT t, min(doc_id) AS first FROM w GROUP BY t),
+d AS (SELECT part, len(w) < 100 AS fa, 100 * len(list_distinct(w)) < 80 * len(w) AS fb,
+    100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) AS fc,
+    regexp_matches(t, '[#$%&*|]') AS fd, doc_id > first AS fe,
+    coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic
+  FROM w JOIN e USING (t) LEFT JOIN labels l USING (doc_id)),
+f AS (SELECT 'A' AS x UNION ALL SELECT 'B' UNION ALL SELECT 'C' UNION ALL SELECT 'D' UNION ALL SELECT 'E'),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+g AS (SELECT part, (CASE WHEN fa THEN 'A' ELSE '' END) || (CASE WHEN fb THEN 'B' ELSE '' END)
+    || (CASE WHEN fc THEN 'C' ELSE '' END) || (CASE WHEN fd THEN 'D' ELSE '' END)
+    || (CASE WHEN fe THEN 'E' ELSE '' END) AS failing, count(*) AS n,
+    count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d GROUP BY ALL),
+s AS (SELECT part, filter_order, step, filter_order[step] AS filter, n, good, toxic, failing,
+    contains(failing, filter_order[step]) AS fails,
+    failing <> '' AND translate(filter_order[1:step - 1], failing, '') <> filter_order[1:step - 1] AS earlier
+  FROM g, o, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)),
+r AS (SELECT part, filter_order, step, filter,
+    coalesce(sum(n) FILTER (NOT fails AND NOT earlier), 0) AS kept,
+    coalesce(sum(n) FILTER (fails AND NOT earlier), 0) AS removed,
+    coalesce(sum(n) FILTER (fails AND earlier), 0) AS redundant,
+    coalesce(sum(n) FILTER (failing = filter), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (fails AND NOT earlier), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (fails AND NOT earlier), 0) AS toxic_lost
+  FROM s GROUP BY ALL)
+SELECT part, filter_order, step, filter, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM r""",
+    "op13_importance_sample": f"""
+WITH crc_table AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS i))),
+d AS (SELECT doc_id, {_WORDS.format(t='text')} AS w FROM documents),
+b AS (SELECT {_WORDS.format(t='text')} AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS word FROM d), bw AS (SELECT unnest(w) AS word FROM b),
+hexed AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+bytes AS (SELECT word, list_transform(range(len(h) // 2),
+    lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)) AS l FROM hexed),
+buckets AS (SELECT word, xor(list_reduce(l, lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295),
+    4294967295) % 10000 AS bucket FROM bytes, crc_table),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN buckets USING (word) GROUP BY bucket),
+gains AS (SELECT s.bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE
+    * ((SELECT count(*) FROM dw) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT doc_id, sum(gain) AS weight FROM dw JOIN buckets USING (word)
+  JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights ON weights.doc_id = d.doc_id),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank,
+    count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scored s LEFT JOIN ranked r ON r.doc_id = s.doc_id""",
 }

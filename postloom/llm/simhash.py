@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import arrow_rows, row_key, utf8, with_row_key, written
+from postloom.llm.common import arrow_rows, packed, row_key, unpacked, utf8, written
 
 SHINGLE = 3
 SEED = 42
@@ -168,19 +168,19 @@ def keep_first(docs: DataFrame, marked: DataFrame, doc_id: str = "doc_id",
     best = by_id.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", "k", "n")).alias("b"))
     best = written(spark, best.select("root", "b.*"), "best")
-    keyed = with_row_key(docs, doc_id, text)
-    single = keyed.join(best.where("n = 1").select("k.*"), ["_k1", "_k2"], "left_semi")
-    single = single.drop("_k1", "_k2")
+    rows = packed(docs, *row_key(doc_id, text))
+    single = rows.join(
+        best.where("n = 1").select("k.*"), ["_k1", "_k2"], "left_semi").select("row")
     tied = best.where("n > 1").select("root", F.col("doc_id").alias("_id"))
     if tied.isEmpty():
-        return single
+        return unpacked(single)
     tied = marked.join(tied, "root").where(F.col("doc_id").eqNullSafe(F.col("_id")))
     tied = tied.select("_k1", "_k2", "root").distinct()
-    several = keyed.join(tied, ["_k1", "_k2"]).drop("_k1", "_k2").withColumn(
-        "_text", F.coalesce(text, F.lit("")))
-    least = several.groupBy("root").agg(F.min("_text").alias("_text"))
-    first = several.join(least, ["root", "_text"], "left_semi").dropDuplicates(["root"])
-    return single.unionByName(first.drop("_text", "root"))
+    several = rows.join(tied, ["_k1", "_k2"]).select(
+        "row", "root", F.coalesce(F.col("row").getField(text), F.lit("")).alias("t"))
+    least = several.groupBy("root").agg(F.min("t").alias("t"))
+    first = several.join(least, ["root", "t"], "left_semi").dropDuplicates(["root"])
+    return unpacked(single.unionByName(first.select("row")))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,5 +207,3 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def hex16(fp: str) -> Column:
     """A signed 64-bit fingerprint as 16 lower-case hex digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
-
-

@@ -12,7 +12,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from postloom.llm import (
-    bpe, chat_format, decontaminate, license_scan, near_text, quality_crf, simhash, substring_dedup,
+    bpe, chat_format, decontaminate, license_scan, quality_crf, simhash, substring_dedup,
     token_counts, topk, toxicity,
 )
 from postloom.llm.queries import COUNT_TOKENIZER, WORD_TOKENIZER
@@ -221,35 +221,24 @@ def test_keep_one_keeps_a_row_of_each_component(spark):
                            (7, texts[5]), (8, texts[6])])
 
 
-def test_near_texts_equal_brute_force(spark):
+def test_the_pipeline_keeps_one_of_each_simhash_group(spark):
     import corpus_pipeline
 
     rng = random.Random(8)
-    texts = []
-    for _ in range(12):
-        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(60, 200))]
-        for edits in (0, 1, 2, 3, 6, 9):
-            copy = list(base)
-            for _ in range(edits):
-                copy[rng.randrange(len(copy))] = f"v{rng.randrange(10**6)}"
-            texts.append(" ".join(copy))
-    texts += [None, "", "a b", "A  b", "a b c"]
-
-    def grams(text):
-        w = (text or "").lower().split()
-        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-    sets = [grams(t) for t in texts]
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            union = len(sets[i] | sets[j])
-            if not union or len(sets[i] & sets[j]) >= 0.8 * union:
-                a, b = root[i], root[j]
-                root = [min(a, b) if r in (a, b) else r for r in root]
-    kept = corpus_pipeline.near_dedup(spark, frame(spark, texts), "")
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
-    assert near_text.keep_one(frame(spark, [])).count() == 0
+    texts = [None, "", "a b", "A  b"]
+    for _ in range(30):
+        base = [f"w{rng.randrange(40)}" for _ in range(rng.randint(60, 400))]
+        texts += [" ".join(base), " ".join([*base[:-1], "other"]), " ".join(base).upper()]
+    groups = brute_components([brute_fingerprint(t) for t in texts])
+    kept = corpus_pipeline.simhash_near_dedup(spark, frame(spark, texts), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(groups))
+
+
+def test_keep_one_passes_columns_of_any_name(spark):
+    rows = [(1, "a b c d", 1, 2, 3, 4), (1, "A b c d", 1, 2, 3, 4), (2, "x y", 5, 6, 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, root int, _text int, _k1 int, t int")
+    kept = sorted(tuple(r) for r in simhash.keep_one(docs).collect())
+    assert kept == [rows[1], rows[2]]
 
 
 # ------------------------------------------------------------------ decontamination
