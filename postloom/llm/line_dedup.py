@@ -218,7 +218,9 @@ def dedup_lines(
     found = written(spark, suspects(docs, bits, twice, doc_id, text, min_length), "suspects")
     repeated = found.groupBy("h1", "h2").agg(
         F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs)
-    losing = found.join(repeated.drop("n"), ["h1", "h2"]).where(
+    # as a table of its own, so that adaptive execution can split a common line's rows
+    repeated = written(spark, repeated.drop("n"), "repeated")
+    losing = found.join(repeated, ["h1", "h2"]).where(
         ~F.col("doc_id").eqNullSafe(F.col("keeper")))
     kept = docs.select(*[c for c, n in zip(every_column(docs), docs.columns, strict=True)
                          if n.lower() not in ("n_lines", "n_dropped")])
