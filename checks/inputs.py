@@ -32,6 +32,30 @@ FROM (SELECT *, doc_id % (SELECT max(c_custkey) + 1 FROM {customer}) AS custkey
 LEFT JOIN {customer} c ON c.c_custkey = d.custkey
 """
 
+# A dictionary that grows with the tables: nations, words of part names, customers and
+# phrases of documents.
+DICTIONARY = """
+SELECT lower(n_name) AS key, n_name AS value, CAST(1000 + n_nationkey AS BIGINT) AS priority FROM {nation}
+UNION ALL SELECT word, upper(word), CAST(10000 + min(p_partkey) AS BIGINT)
+  FROM (SELECT p_partkey, split_part(p_name, ' ', 1) AS word FROM {part}
+    UNION ALL SELECT p_partkey, split_part(p_name, ' ', 2) FROM {part}) w GROUP BY word
+UNION ALL SELECT lower(c_name), c_name, CAST(1000000 + c_custkey AS BIGINT) FROM {customer}
+UNION ALL SELECT lower(regexp_extract(text, '([A-Za-z]+ [a-z]+)', 1)), 'Place ' || CAST(doc_id AS VARCHAR(20)),
+  CAST(100000000 + doc_id AS BIGINT) FROM {documents}
+"""
+
+# Terms that grow with the tables: words and whole names of parts, phrases of documents.
+TERMS = """
+SELECT DISTINCT term FROM (
+  SELECT split_part(p_name, ' ', 1) AS term FROM {part}
+  UNION ALL SELECT split_part(p_name, ' ', 2) FROM {part}
+  UNION ALL SELECT lower(p_name) FROM {part}
+  UNION ALL SELECT lower(regexp_extract(text, '([A-Za-z]+ [a-z]+)', 1)) FROM {documents}
+  UNION ALL SELECT lower(regexp_extract(text, '([a-z]+ [a-z]+ [a-z]+ [a-z]+)', 1)) FROM {documents}
+  UNION ALL SELECT lower(regexp_extract(text, '([a-z]+, [a-z]+ [a-z]+)', 1)) FROM {documents}) t
+WHERE term <> '' AND term NOT LIKE '%,%'
+"""
+
 # Dates in several spellings, from the order dates.
 DATE_TEXTS = """
 SELECT o_orderkey AS record_no, o_orderdate,

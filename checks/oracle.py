@@ -13,10 +13,12 @@ from postloom.plans.specs import SOURCES, STAGING_COLUMNS
 
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\t-\r\x1c-\x20\x{85}\p{Z}"
-NAMES = {n: n for n in ("documents", "customer", "orders", "pages")}
+NAMES = {n: n for n in ("documents", "customer", "orders", "pages", "nation", "part")}
 POSTINGS = inputs.POSTINGS.format(**NAMES)
 DATE_TEXTS = inputs.DATE_TEXTS.format(**NAMES)
 POSTING_PAGES = inputs.POSTING_PAGES.format(**NAMES)
+DICTIONARY = inputs.DICTIONARY.format(**NAMES)
+TERMS = inputs.TERMS.format(**NAMES)
 
 
 # ------------------------------------------------------------------- fragments
@@ -231,7 +233,12 @@ def _bounded(term: str) -> str:
     return before + rx([term]) + after
 
 
-def skills_ctes(source: str, key: str, text: str, versioned: bool = False) -> str:
+#: Rows of skill_terms for terms of the tables, which are letters, digits and blanks.
+TABLE_TERMS = (f" UNION ALL SELECT term, term, '(?:^|[^{WORD}])' || term || '(?:$|[^{WORD}])' "
+               f"FROM ({TERMS})")
+
+
+def skills_ctes(source: str, key: str, text: str, versioned: bool = False, more: str = "") -> str:
     """CTE ``found_skills(key, skills)``: sorted list of skills per row."""
     terms = list(dict.fromkeys(
         [*VOCABULARY.terms, *(W.VERSIONED_EXTRA_SKILLS if versioned else [])]))
@@ -250,7 +257,7 @@ def skills_ctes(source: str, key: str, text: str, versioned: bool = False) -> st
             f"SELECT k, unnest(regexp_extract_all(t, {q(p)}, 1)) AS skill "
             "FROM skill_texts" for p in W.VERSION_PATTERNS]
     return f"""
-skill_terms(spelling, skill, pattern) AS (VALUES {values}),
+skill_terms(spelling, skill, pattern) AS (SELECT * FROM (VALUES {values}) v{more}),
 skill_texts AS (SELECT {key} AS k, {skill_text(text)} AS t FROM {source}),
 skill_hits AS ({' UNION ALL '.join(parts)}),
 skill_names AS (SELECT DISTINCT k, {normalize_skill('skill', versioned)} AS skill FROM skill_hits),
@@ -310,9 +317,25 @@ PER_SOURCE = {
 }
 
 
-def classified_ctes(source: str) -> str:
+CITIES = f"""cities(key, value, priority) AS (SELECT * FROM (VALUES {', '.join(
+    f"({q(k)}, {q(v)}, {i})" for i, (k, v) in enumerate(
+        (k, v) for v, spellings in W.CITY_SPELLINGS.items() for k in spellings))}) v
+  UNION ALL {DICTIONARY})"""
+
+
+def looked_up(name: str, source: str, x: str) -> str:
+    """CTE ``name(record_no, city)``: first entry of ``cities`` in a text of ``source``."""
+    return f"""{name} AS (SELECT record_no, arg_min(value, (priority, key)) AS city
+  FROM (SELECT record_no, lower({x}) AS low FROM {source}) s
+  JOIN cities ON key <> '' AND contains(low, key)
+  WHERE NOT {has('low', W.JOB_PLATFORMS)} GROUP BY record_no)"""
+
+
+def classified_ctes(source: str, tables: bool = False) -> str:
     """CTEs up to ``classified``: cleaned rows with the reason they are dropped."""
     s = PER_SOURCE[source]
+    if tables:
+        s = s | {"city": "coalesce(by_place.city, by_text.city)"}
     text = html_text("raw") if s["html"] else "raw"
     reasons = " ".join(f"WHEN {test} THEN {q(name)}" for name, test in s["reasons"])
     return f"""
@@ -321,19 +344,23 @@ raws AS (SELECT *, {s['raw']} AS raw FROM p),
 cleaned AS (SELECT record_no, {clean_company('company')} AS company_name,
   {s['title'](s['title_on'])} AS job_title, {clean_description(text)} AS job_description,
   nullif(url, '') AS job_url, location, date_text, employment_type, raw FROM raws),
-{skills_ctes('cleaned', 'record_no', 'job_description')},
+{skills_ctes('cleaned', 'record_no', 'job_description', more=TABLE_TERMS if tables else '')},
+{CITIES + ', ' + looked_up('by_place', 'cleaned', 'location') + ', ' + looked_up(
+    'by_text', 'cleaned', 'job_description') + ',' if tables else ''}
 detailed AS (SELECT c.*, f.skills, {s['city']} AS city FROM cleaned c
-  JOIN found_skills f ON f.k = c.record_no),
+  JOIN found_skills f ON f.k = c.record_no{
+  ' LEFT JOIN by_place ON by_place.record_no = c.record_no'
+  ' LEFT JOIN by_text ON by_text.record_no = c.record_no' if tables else ''}),
 classified AS (SELECT *, CASE {reasons} END AS skip_reason FROM detailed)"""
 
 
-def staged_ctes(source: str) -> str:
+def staged_ctes(source: str, tables: bool = False) -> str:
     s = PER_SOURCE[source]
     keys = ", ".join(SOURCES[source].dedup_keys)
     skills = "skills"
     if source == "freehire":
         skills = union_skills("['Node.js', '(AWS)', 'scikit-learn']", "skills")
-    return f"""{classified_ctes(source)},
+    return f"""{classified_ctes(source, tables)},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY record_no) AS rank_no
   FROM classified WHERE skip_reason IS NULL),
 staged AS (SELECT record_no, job_title, company_name, city, 'Saudi Arabia' AS country,
@@ -346,8 +373,8 @@ def with_skills_text() -> str:
     return ", ".join(comma(c) + " AS skills" if c == "skills" else c for c in STAGING_COLUMNS)
 
 
-def standardized(source: str) -> str:
-    return f"WITH {staged_ctes(source)} SELECT {with_skills_text()} FROM staged"
+def standardized(source: str, tables: bool = False) -> str:
+    return f"WITH {staged_ctes(source, tables)} SELECT {with_skills_text()} FROM staged"
 
 
 def every_source(select: str, ctes) -> str:
@@ -368,8 +395,9 @@ TITLED = ("description || CASE WHEN record_no % 2 = 0 THEN title "
           "ELSE ' Job Title: cloud/ops guru remote' END")
 
 
-def skills_query(text: str, expression: str = "skills", versioned: bool = False) -> str:
-    return (f"WITH p AS ({POSTINGS}), {skills_ctes('p', 'record_no', text, versioned)} "
+def skills_query(text: str, expression: str = "skills", versioned: bool = False,
+                 more: str = "") -> str:
+    return (f"WITH p AS ({POSTINGS}), {skills_ctes('p', 'record_no', text, versioned, more)} "
             f"SELECT record_no, {comma(expression)} AS skills "
             "FROM p JOIN found_skills f ON f.k = p.record_no")
 
@@ -396,18 +424,15 @@ FROM bounded
 """
 
 TERM_MATCHES = f"""
-WITH terms AS (
-  SELECT DISTINCT term FROM (
-    SELECT unnest(string_split(p_name, ' ')) AS term FROM part
-    UNION ALL SELECT lower(regexp_extract(text, '([A-Za-z]+ [a-z]+)', 1)) FROM documents)
-  WHERE term <> ''),
+WITH terms AS ({TERMS}),
+most AS (SELECT max(len(string_split(term, ' '))) AS n FROM terms),
 words AS (SELECT doc_id, {skill_text('text')} AS t FROM documents),
 tokens AS (SELECT doc_id, regexp_extract_all(t, '[{WORD}]+|[^{WORD}]+') AS w FROM words),
 places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM tokens),
 phrases AS (
-  SELECT DISTINCT doc_id, w[i] AS term FROM places WHERE regexp_matches(w[i], '[{WORD}]')
-  UNION SELECT DISTINCT doc_id, w[i] || w[i + 1] || w[i + 2] FROM places
-  WHERE i + 2 <= len(w) AND regexp_matches(w[i], '[{WORD}]'))
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2 * more], '') AS term
+  FROM places, (SELECT unnest(range(0, n)) AS more FROM most)
+  WHERE i + 2 * more <= len(w) AND regexp_matches(w[i], '[{WORD}]'))
 SELECT doc_id, term FROM phrases SEMI JOIN terms USING (term)
 """
 
@@ -561,6 +586,14 @@ ORACLES: dict[str, str] = {
         "description", union_skills("['Node.js', '(AWS)', employment_type]", "skills")),
     "skills_context": SKILLS_CONTEXT,
     "term_matches": TERM_MATCHES,
+    "skills_from_table": skills_query("description", versioned=True, more=TABLE_TERMS),
+    "city_lookup_table": f"""WITH p AS ({POSTINGS}), {CITIES},
+        {looked_up('by_place', 'p', 'location')},
+        {looked_up('by_text', 'p', "concat_ws(' ', company, description)")}
+        SELECT p.record_no, coalesce(a.city, b.city) AS city FROM p
+        LEFT JOIN by_place a ON a.record_no = p.record_no
+        LEFT JOIN by_text b ON b.record_no = p.record_no""",
+    "standardize_with_tables": standardized("freehire", tables=True),
     "dedup_keep_first": """SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (
         PARTITION BY text ORDER BY doc_id) AS n FROM documents) WHERE n = 1""",
     "dedup_keep_last": """SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (

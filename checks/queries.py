@@ -56,6 +56,8 @@ def _view(sql: str, **keys: str | None) -> Query:
     return read
 
 
+dictionary = _view(inputs.DICTIONARY, nation=None, part=None, customer=None, documents=None)
+terms = _view(inputs.TERMS, part=None, documents=None)
 postings = _view(inputs.POSTINGS, documents="doc_id", customer=None)
 date_texts = _view(inputs.DATE_TEXTS, orders=None)
 posting_pages = _view(inputs.POSTING_PAGES, pages="page_id")
@@ -203,13 +205,40 @@ def skills_context(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def term_matches(spark: SparkSession, sf: str) -> DataFrame:
-    """Part names as a vocabulary, matched against documents by a join."""
-    terms = table(spark, sf, "part").select(
-        F.explode(F.split("p_name", " ")).alias("term")).unionByName(
-        table(spark, sf, "documents").select(
-            F.lower(F.regexp_extract("text", r"([A-Za-z]+ [a-z]+)", 1)).alias("term")))
+    """Part names and phrases as a vocabulary, matched against documents by a join."""
     texts = text_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
-    return match_terms(texts, "doc_id", "text", terms.where("term <> ''").distinct())
+    return match_terms(texts, "doc_id", "text", terms(spark, sf))
+
+
+def skill_table(spark: SparkSession, sf: str) -> skills.SkillTable:
+    """The starter vocabulary and the terms of the tables, as one table."""
+    starter = spark.createDataFrame([(t,) for t in VOCABULARY.terms], "term string")
+    return skills.SkillTable(starter.unionByName(terms(spark, sf)))
+
+
+def skills_from_table(spark: SparkSession, sf: str) -> DataFrame:
+    found = skills.with_skills(
+        postings(spark, sf), _c("description"), skill_table(spark, sf).versioned())
+    return found.select("record_no", joined("skills"))
+
+
+def _cities(spark: SparkSession, sf: str) -> DataFrame:
+    return places.city_dictionary(spark).unionByName(dictionary(spark, sf))
+
+
+def city_lookup_table(spark: SparkSession, sf: str) -> DataFrame:
+    """City or other place named first in a dictionary that grows with the tables."""
+    found = places.with_city(
+        postings(spark, sf), "city", _cities(spark, sf), _c("location"),
+        F.concat_ws(" ", "company", "description"))
+    return found.select("record_no", "city")
+
+
+def standardize_with_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """A source with both dictionaries as tables."""
+    raw = raw_records(spark, sf, "freehire")
+    return as_csv(standardize(raw, SOURCES["freehire"], AS_OF, skill_table(spark, sf),
+                              cities=_cities(spark, sf)))
 
 
 # ------------------------------------------------------------------ dedup, merge
@@ -427,6 +456,9 @@ QUERIES: dict[str, Query] = {
     "skills_union": union_of_skills,
     "skills_context": skills_context,
     "term_matches": term_matches,
+    "skills_from_table": skills_from_table,
+    "city_lookup_table": city_lookup_table,
+    "standardize_with_tables": standardize_with_tables,
     "dedup_keep_first": dedup_keep_first,
     "dedup_keep_last": dedup_keep_last,
     "dedup_latest_repost_count": dedup_latest_repost_count,

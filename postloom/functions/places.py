@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
 from postloom.functions.regex import (
     SPACE, by_spelling, contains_any, first_listed, let, strip,
 )
+from postloom.operators.substring_index import with_first_values
 
 
 def clean_city(location: Column) -> Column:
@@ -20,10 +21,36 @@ def clean_city(location: Column) -> Column:
     return let(F.lower(location), lookup)
 
 
+def unbulleted(location: Column) -> Column:
+    """A location written as "City • Region", with a dash for the bullet."""
+    dashed = F.translate(location, "•", "-")
+    return strip(F.regexp_replace(dashed, rf"[{SPACE}]{{2,}}", " "))
+
+
 def clean_bulleted_city(location: Column) -> Column:
     """:func:`clean_city` for locations written as "City • Region"."""
-    dashed = F.translate(location, "•", "-")
-    return clean_city(strip(F.regexp_replace(dashed, rf"[{SPACE}]{{2,}}", " ")))
+    return clean_city(unbulleted(location))
+
+
+def city_dictionary(spark: SparkSession) -> DataFrame:
+    """The built-in spellings as a table that :func:`with_city` takes."""
+    listed = [(spelling, city, i) for i, (spelling, city) in enumerate(
+        by_spelling(W.CITY_SPELLINGS).items())]
+    return spark.createDataFrame(listed, "key string, value string, priority long")
+
+
+def with_city(df: DataFrame, name: str, cities: DataFrame, *texts: Column) -> DataFrame:
+    """``df`` with the city named in the first of the texts that names one.
+
+    The rules of :func:`clean_city` for a dictionary of any size: a table of ``key`` (a
+    spelling in lower case), ``value`` and ``priority``; nothing of it is brought to the driver.
+    """
+    columns = {f"__{name}_{i}": F.lower(text) for i, text in enumerate(texts)}
+    found = with_first_values(df, cities, **columns)
+    cities_named = [F.when(~contains_any(text, W.JOB_PLATFORMS), F.col(column))
+                    for column, text in columns.items()]
+    kept = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return found.select(*kept, F.coalesce(*cities_named).alias(name))
 
 
 def is_domestic_location(location: Column) -> Column:

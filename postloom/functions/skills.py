@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
 from postloom.functions.regex import (
-    NO_WORD_AFTER, NO_WORD_BEFORE, SPACE, WORD, WORD_AFTER, WORD_BEFORE, is_word_char, let,
-    strip, whole_word_scans, word_array, word_map,
+    SPACE, WORD, is_word_char, let, strip, whole_word_scans, word_array, word_map,
 )
+from postloom.operators.substring_index import HASH, distinct_texts, text_hash
+from postloom.operators.term_trie import build_trie, tokens, trie_reports
 
+_FIRST_TOKEN = rf"(?s)\A(?:[{WORD}]+|[^{WORD}])"
 _SEPARATORS = r"\-./+#"
 
 
@@ -31,16 +33,16 @@ class SkillVocabulary:
     versions: bool = False
 
     @classmethod
-    def from_table(cls, table: DataFrame, column: str = "term", **options) -> SkillVocabulary:
-        """Vocabulary from a table of terms: a word list that people keep, not corpus rows.
+    def from_table(
+        cls, table: DataFrame, column: str = "term", max_terms: int = 50_000, **options,
+    ) -> SkillVocabulary:
+        """Vocabulary from a table of at most ``max_terms`` terms, which become part of the plan.
 
-        All of it becomes part of the plan.  Terms drawn from a corpus, which grow with
-        it, are matched by :mod:`postloom.operators.vocabulary`.
+        A larger table is an error: it stays a table, see :class:`SkillTable`.
         """
-        rows = (
-            table.select(F.lower(strip(F.col(column))).alias("term"))
-            .where("term <> ''").distinct().collect()
-        )
+        rows = tidy_terms(table, column).limit(max_terms + 1).collect()
+        if len(rows) > max_terms:
+            raise ValueError(f"more than {max_terms} terms: use SkillTable")
         return cls(tuple(sorted(r.term for r in rows)), **options)
 
     def versioned(self) -> SkillVocabulary:
@@ -49,6 +51,40 @@ class SkillVocabulary:
         return replace(self, terms=terms, keep_dash=True, versions=True)
 
 
+@dataclass(frozen=True)
+class SkillTable:
+    """A vocabulary that stays a table (column ``term``) of any size.
+
+    Texts meet it by joins, see :func:`with_skills`; results are those of a
+    :class:`SkillVocabulary` of the same terms and options.
+    """
+
+    table: DataFrame
+    keep_dash: bool = False
+    versions: bool = False
+
+    def versioned(self) -> SkillTable:
+        return replace(self, keep_dash=True, versions=True)
+
+    def spellings(self) -> DataFrame:
+        """(term, report): every spelling to look for, and the skill it stands for."""
+        terms = tidy_terms(self.table)
+        if self.versions:
+            terms = terms.unionByName(_listed(terms, "term", W.VERSIONED_EXTRA_SKILLS)).distinct()
+        own = terms.select("term", F.col("term").alias("report"))
+        known = word_map(W.SKILL_ALIASES)
+        aliases = _listed(terms, "term", W.SKILL_ALIASES)
+        return own.unionByName(aliases.select("term", F.try_element_at(known, "term").alias("report")))
+
+
+def tidy_terms(table: DataFrame, column: str = "term") -> DataFrame:
+    return table.select(F.lower(strip(F.col(column))).alias("term")).where("term <> ''").distinct()
+
+
+def _listed(like: DataFrame, name: str, words) -> DataFrame:
+    return like.sparkSession.range(1).select(F.explode(word_array(words)).alias(name))
+
+
 STARTER = SkillVocabulary(tuple(W.STARTER_SKILLS))
 
 
@@ -122,19 +158,47 @@ def extract_skills(text: Column, vocabulary: SkillVocabulary = STARTER) -> Colum
 
     def scan(t: Column) -> Column:
         words = F.concat(*[F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in scans])
-        parts = [
-            _expand(F.array_distinct(words), implied),
-            F.filter(word_array(W.COMPOUND_PHRASES), lambda p: t.contains(p)),
-            F.array(*[F.regexp_extract(t, v, 0) for v in W.COMPOUND_VARIANTS]),
-        ]
-        if vocabulary.versions:
-            parts += [F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in W.VERSION_PATTERNS]
-        return F.concat(*parts)
+        return F.concat(
+            _expand(F.array_distinct(words), implied), _compounds(t, vocabulary.versions))
 
     skills = tidy_skills(let(skill_text(text), scan), vocabulary.keep_dash)
     return F.coalesce(skills, F.array().cast("array<string>"))
 
 
+def _compounds(t: Column, versions: bool) -> Column:
+    """Fixed phrases and, if asked for, names with version numbers in a skill text."""
+    parts = [
+        F.filter(word_array(W.COMPOUND_PHRASES), lambda p: t.contains(p)),
+        F.array(*[F.regexp_extract(t, v, 0) for v in W.COMPOUND_VARIANTS]),
+    ]
+    if versions:
+        parts += [F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in W.VERSION_PATTERNS]
+    return F.concat(*parts)
+
+
+def with_skills(
+    df: DataFrame, text: Column, vocabulary: SkillVocabulary | SkillTable, name: str = "skills",
+) -> DataFrame:
+    """``df`` with the sorted distinct skills named in a text, for either kind of vocabulary.
+
+    With a :class:`SkillTable`, distinct texts meet the terms in a prefix tree
+    (:mod:`postloom.operators.term_trie`), and what they report meets the rows by hash.
+    """
+    if isinstance(vocabulary, SkillVocabulary):
+        return df.withColumn(name, extract_skills(text, vocabulary))
+    plain = skill_text(text)
+    texts = distinct_texts(df, plain)
+    found = trie_reports(texts, build_trie(vocabulary.spellings()))
+    kept = [F.col(f"`{c}`") for c in df.columns if c != name]
+    none = F.array().cast("array<string>")
+    # the hash is of the text as it is read here, so rows without text meet nothing
+    joined = df.select(*kept, plain.alias("__plain"), *text_hash(plain)).join(found, HASH, "left")
+    skills = tidy_skills(F.concat(
+        F.coalesce("reports", none), _compounds(F.col("__plain"), vocabulary.versions)),
+        vocabulary.keep_dash)
+    return joined.withColumn(name, F.coalesce(skills, none)).drop("__plain", "reports", *HASH)
+
+
 def union_skills(given: Column, extracted: Column) -> Column:
     """Skills given by the source and extracted ones, in one spelling."""
     both = F.array_union(F.coalesce(given, F.array().cast("array<string>")), extracted)
@@ -143,36 +207,76 @@ def union_skills(given: Column, extracted: Column) -> Column:
     return F.array_sort(F.filter(normal, lambda s: s != ""))
 
 
+_CHUNK = 128  # tokens whose offsets are added up together
+
+
+def _token_offsets(text_tokens: Column) -> Column:
+    """Number of characters in front of each token.
+
+    Running sums in chunks: arrays that grow by one stay short, so the work is not the
+    square of the number of tokens.
+    """
+    def sums(values: Column, start: Column) -> Column:
+        empty = F.struct(start.alias("at"), F.array().cast("array<int>").alias("starts"))
+        return F.aggregate(values, empty, lambda s, v: F.struct(
+            (s["at"] + v).alias("at"), F.array_append(s["starts"], s["at"]).alias("starts")),
+            lambda s: s["starts"])
+
+    def add_up(lengths: Column) -> Column:
+        chunks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _CHUNK).cast("int")),
+            lambda c: F.slice(lengths, c * _CHUNK + 1, _CHUNK))
+        return let(chunks, lambda cs: let(
+            F.transform(cs, lambda c: F.aggregate(c, F.lit(0), lambda a, v: a + v)),
+            lambda totals: F.flatten(F.zip_with(cs, sums(totals, F.lit(0)), sums))))
+
+    return let(F.transform(text_tokens, lambda t: F.length(t)), lambda lengths: F.when(
+        F.size(lengths) > 0, add_up(lengths)).otherwise(F.array().cast("array<int>")))
+
+
 def skill_contexts(text: Column, skills: Column, window: int = 50) -> Column:
     """Map skill -> the text around each of its occurrences.
 
-    A skill whose normalised spelling does not occur in the text has no entry.
-    Windows may overlap, so positions are running lengths of the pieces between
-    occurrences, not a consuming match.
+    One constant pattern cuts the text into tokens with their offsets; a skill is looked for
+    where its first token stands, as a literal between word boundaries. Occurrences of a
+    skill do not overlap, their windows may. A skill whose normalised spelling does not occur
+    in the text has no entry.
     """
-    def around(skill: Column, original: Column, lowered: Column) -> Column:
-        width = F.length(skill)
-        # the literal is looked at first: boundaries are only tested where it stands
-        pattern = F.concat(
-            F.lit(r"(?=\Q"), skill, F.lit(r"\E)"),
-            F.when(skill.rlike(rf"\A[{WORD}]"), NO_WORD_BEFORE).otherwise(WORD_BEFORE),
-            F.lit(r"\Q"), skill, F.lit(r"\E"),
-            F.when(skill.rlike(rf"[{WORD}]\z"), NO_WORD_AFTER).otherwise(WORD_AFTER))
-
-        def add(state: Column, piece: Column) -> Column:
-            start = state["end"] + F.length(piece)
-            left = F.greatest(start - window, F.lit(0))
+    is_word = rf"\A[{WORD}]"
+
+    def around(skill: Column, original: Column, lowered: Column, places: Column) -> Column:
+        width, first = F.length(skill), F.regexp_extract(skill, _FIRST_TOKEN, 0)
+        # an end that is a mark needs a word character beyond it, a word end must have none
+        starts_bare, ends_bare = ~skill.rlike(is_word), ~skill.rlike(rf"[{WORD}]\z")
+
+        def is_whole(p: Column) -> Column:
+            before = F.when(p["at"] > 0, F.substring(lowered, p["at"], F.lit(1))).otherwise("")
+            after = F.substring(lowered, p["at"] + width + 1, F.lit(1))
+            return ((F.substring(lowered, p["at"] + 1, width) == skill)
+                    & (before.rlike(is_word) == starts_bare) & (after.rlike(is_word) == ends_bare))
+
+        def add(state: Column, p: Column) -> Column:
+            left = F.greatest(p["at"] - window, F.lit(0))
             # substring stops at the end of the text by itself
-            snippet = strip(F.substring(original, left + 1, start + width + window - left))
-            return F.struct(
-                (start + width).alias("end"),
-                F.concat(state["contexts"], F.array(snippet)).alias("contexts"))
+            snippet = strip(F.substring(original, left + 1, p["at"] + width + window - left))
+            taken = F.struct((p["at"] + width).alias("end"),
+                             F.array_append(state["contexts"], snippet).alias("contexts"))
+            return F.when(p["at"] >= state["end"], taken).otherwise(state)
 
         empty = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("contexts"))
-        return let(F.split(lowered, pattern), lambda pieces: F.aggregate(
-            F.slice(pieces, 1, F.size(pieces) - 1), empty, add, lambda s: s["contexts"]))
-
-    entries = let(text, lambda original: let(F.lower(original), lambda lowered: F.transform(
-        F.filter(skills, lambda s: lowered.contains(s)),
-        lambda s: F.struct(s.alias("key"), around(s, original, lowered).alias("value")))))
-    return F.map_from_entries(F.filter(entries, lambda e: F.size(e["value"]) > 0))
+        whole = F.filter(F.filter(places, lambda p: p["token"] == first), is_whole)
+        return F.aggregate(whole, empty, add, lambda s: s["contexts"])
+
+    def entries(original: Column, lowered: Column) -> Column:
+        named = F.filter(skills, lambda s: lowered.contains(s))
+        listed = let(tokens(lowered), lambda ts: F.arrays_zip(
+            ts.alias("token"), _token_offsets(ts).alias("at")))
+        return F.when(F.size(named) > 0, let(listed, lambda places: F.transform(
+            named, lambda s: F.struct(
+                s.alias("key"), around(s, original, lowered, places).alias("value")))))
+
+    found = let(text, lambda original: let(
+        F.lower(original), lambda lowered: entries(original, lowered)))
+    found = F.when(text.isNotNull() & skills.isNotNull(), F.coalesce(
+        found, F.array().cast("array<struct<key:string,value:array<string>>>")))
+    return F.map_from_entries(F.filter(found, lambda e: F.size(e["value"]) > 0))

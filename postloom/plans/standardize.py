@@ -21,8 +21,10 @@ from postloom.functions import wordlists as W
 from postloom.functions.dates import format_date, relative_date
 from postloom.functions.enrich import education, employment_type
 from postloom.functions.nulls import field, null_words_to_null, normalize_nulls
-from postloom.functions.places import clean_bulleted_city, clean_city
-from postloom.functions.skills import STARTER, SkillVocabulary, extract_skills, union_skills
+from postloom.functions.places import clean_bulleted_city, clean_city, unbulleted, with_city
+from postloom.functions.skills import (
+    STARTER, SkillTable, SkillVocabulary, extract_skills, union_skills, with_skills,
+)
 from postloom.functions.text import (
     clean_company_name, clean_description, clean_title, html_to_text, keep_title_characters,
     title_from_description,
@@ -76,6 +78,17 @@ def _city(spec: SourceSpec) -> Column:
     return clean_city(place)
 
 
+def _with_city(df: DataFrame, spec: SourceSpec, cities: DataFrame) -> DataFrame:
+    """:func:`_city` with a dictionary that is a table."""
+    place = F.col("__city_text")
+    if spec.city_rule == "bulleted":
+        found = with_city(df, "city", cities, unbulleted(place))
+        return with_city(found, "city", cities, F.col("city"))
+    if spec.city_rule == "list_then_description":
+        return with_city(df, "city", cities, place, F.col("job_description"))
+    return with_city(df, "city", cities, place)
+
+
 def _city_text(df: DataFrame, spec: SourceSpec) -> Column:
     place = field(df, spec.city)
     if spec.city_rule == "list_then_description" and "cities" in df.columns:
@@ -92,7 +105,8 @@ def _ordered(raw: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def prepare(
-    raw: DataFrame, spec: SourceSpec, vocabulary: SkillVocabulary = STARTER,
+    raw: DataFrame, spec: SourceSpec, vocabulary: SkillVocabulary | SkillTable = STARTER,
+    cities: DataFrame | None = None,
 ) -> DataFrame:
     """Cleaned texts and the raw fields later stages need."""
     raw = _ordered(normalize_nulls(raw), spec)
@@ -114,11 +128,16 @@ def prepare(
     order = {c: F.col(c) for c in spec.order}
     ready = compute_once(raw, **columns).select(*order, *columns)
     extra = {}
-    if "city" in spec.dedup_keys:
+    if "city" in spec.dedup_keys and cities is None:
         extra["city"] = _city(spec)
-    if "not_tech_posting" in spec.drops:
+    if "not_tech_posting" in spec.drops and isinstance(vocabulary, SkillVocabulary):
         extra["__skills"] = extract_skills(F.col("job_description"), vocabulary)
-    return compute_once(ready, **extra) if extra else ready
+    ready = compute_once(ready, **extra) if extra else ready
+    if "city" in spec.dedup_keys and cities is not None:
+        ready = _with_city(ready, spec, cities)
+    if "not_tech_posting" in spec.drops and isinstance(vocabulary, SkillTable):
+        ready = with_skills(ready, F.col("job_description"), vocabulary, "__skills")
+    return ready
 
 
 def classify(prepared: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -132,10 +151,15 @@ def classify(prepared: DataFrame, spec: SourceSpec) -> DataFrame:
 
 def enrich(
     kept: DataFrame, spec: SourceSpec, as_of: dt.date,
-    vocabulary: SkillVocabulary = STARTER, strict_dates: bool = False,
+    vocabulary: SkillVocabulary | SkillTable = STARTER, strict_dates: bool = False,
+    cities: DataFrame | None = None,
 ) -> DataFrame:
     """Common schema for the postings that stay."""
     description = F.col("job_description")
+    if "city" not in kept.columns and cities is not None:
+        kept = _with_city(kept, spec, cities)
+    if "__skills" not in kept.columns and isinstance(vocabulary, SkillTable):
+        kept = with_skills(kept, description, vocabulary, "__skills")
     detail = F.col(RAW) if spec.detail_text == "raw" else description
     date = (
         relative_date(F.col("__date"), as_of, absolute_first=not strict_dates)
@@ -164,22 +188,26 @@ def enrich(
 
 def standardize(
     raw: DataFrame, spec: SourceSpec, as_of: dt.date,
-    vocabulary: SkillVocabulary = STARTER, strict_dates: bool = False,
-    keep_order: bool = False,
+    vocabulary: SkillVocabulary | SkillTable = STARTER, strict_dates: bool = False,
+    keep_order: bool = False, cities: DataFrame | None = None,
 ) -> DataFrame:
-    """All stages; returns the common columns (and the order columns if asked)."""
-    classified = classify(prepare(raw, spec, vocabulary), spec)
-    return finish(classified, spec, as_of, vocabulary, strict_dates, keep_order)
+    """All stages; returns the common columns (and the order columns if asked).
+
+    ``vocabulary`` may be a table of any size, and so may ``cities`` (see places.with_city);
+    without it the built-in city spellings count.
+    """
+    classified = classify(prepare(raw, spec, vocabulary, cities), spec)
+    return finish(classified, spec, as_of, vocabulary, strict_dates, keep_order, cities)
 
 
 def finish(
     classified: DataFrame, spec: SourceSpec, as_of: dt.date,
-    vocabulary: SkillVocabulary = STARTER, strict_dates: bool = False,
-    keep_order: bool = False,
+    vocabulary: SkillVocabulary | SkillTable = STARTER, strict_dates: bool = False,
+    keep_order: bool = False, cities: DataFrame | None = None,
 ) -> DataFrame:
     """Stages after ``classify``."""
     kept = classified.where("skip_reason is null").drop("skip_reason", "source")
     first = keep_first(kept, list(spec.dedup_keys), list(spec.order))
     first = first.withColumn("source", F.lit(spec.name))
-    done = enrich(first, spec, as_of, vocabulary, strict_dates)
+    done = enrich(first, spec, as_of, vocabulary, strict_dates, cities)
     return done if keep_order else done.drop(*spec.order)
