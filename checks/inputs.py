@@ -79,11 +79,19 @@ FROM (SELECT o_orderkey, o_orderdate, CAST(year(o_orderdate) AS VARCHAR(4)) AS y
           CAST(3 * month(o_orderdate) - 2 AS INTEGER), 3) AS mon FROM {orders}) o
 """
 
+# Pages whose navigation stands in nested hidden elements, one of them never closed by its own tag.
+NESTED_PAGES = """
+SELECT page_id, replace(replace(html, '<nav>', '<section><template><div><template>'), '</nav>',
+  CASE page_id % 2 WHEN 0 THEN '</template>hidden</div><br/></template></section>'
+    ELSE '</template>hidden</section>' END) AS html
+FROM {pages}
+"""
+
 # Pages with posting markup written into them: JSON-LD as an object, as a list,
 # of another type, or none; a nested description element, or none.
 POSTING_PAGES = """
 SELECT page_id, url,
-  replace(replace(html, '</head>',
+  replace(replace(replace(html, '</head>',
     CASE page_id % 5
       WHEN 0 THEN '<script type="application/ld+json">{{"@type": "JobPosting", "title": "Engineer '
         || CAST(page_id AS VARCHAR(20)) || '", "datePosted": "2026-08-05T10:00:00", "employmentType": "CONTRACTOR", '
@@ -96,9 +104,11 @@ SELECT page_id, url,
     '<article>' || CASE page_id % 3
       WHEN 0 THEN '<div class="big job-meta-item"> Riyadh, <b>Saudi</b>  Arabia</div>'
         || '<a class="job-meta-company" href="/c">Company ' || CAST(page_id AS VARCHAR(20)) || '</a>'
-        || '<div id="jobDescriptionBody"><div><p>' || head || '</p></div><p>More &amp; text</p></div>'
-      ELSE '' END) AS html,
-  head
-FROM (SELECT page_id, url, html,
+        || '<div data-note="1 > 0" id="jobDescriptionBody"><div><p>' || head || '</p></div></b><p>More &amp; text</p>'
+      ELSE '' END),
+    -- the description is the article: its element ends by its own tag or with the article
+    '</article>', CASE WHEN page_id % 6 = 0 THEN '</div><p>Not part of it</p></article>' ELSE '</article>' END) AS html,
+  head, article
+FROM (SELECT page_id, url, html, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS article,
         trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '"', '')) AS head FROM {pages}) p
 """

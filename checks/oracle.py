@@ -529,12 +529,13 @@ made AS (SELECT page_id, url, head,
   CASE WHEN page_id % 3 = 0 THEN 'Riyadh, Saudi Arabia' ELSE 'Saudi Arabia' END AS location,
   CASE WHEN page_id % 5 = 0 THEN '2026-08-05' ELSE 'Not Specified' END AS posted_date,
   CASE WHEN page_id % 5 = 0 THEN 'CONTRACTOR' ELSE 'Not Specified' END AS employment_type,
-  CASE WHEN page_id % 3 = 0 THEN head || chr(10) || 'More & text'
-    WHEN page_id % 5 = 0 THEN head || chr(10) || '&'
-    WHEN page_id % 5 = 1 THEN head ELSE '' END AS description
+  CASE WHEN page_id % 3 = 0 THEN {decode('head')} || chr(10) || 'More & text' || chr(10)
+      || {html_text('article', chr(10))}
+    WHEN page_id % 5 = 0 THEN {decode('head')} || chr(10) || '&'
+    WHEN page_id % 5 = 1 THEN {decode('head')} ELSE '' END AS description
   FROM p)
 SELECT page_id, job_title, company_name, location, posted_date, employment_type,
-  {strip(decode('description'))} AS job_description, url AS job_url
+  {strip('description')} AS job_description, url AS job_url
 FROM made WHERE length(job_title) >= 3 AND description <> ''
 """
 
@@ -555,6 +556,13 @@ ORACLES: dict[str, str] = {
     "skip_reasons": _skip_report(),
     "raw_payloads": f"""WITH p AS ({POSTINGS}) SELECT record_no, title, company, location,
         date_text AS date, description AS snippet, url FROM p WHERE url <> ''""",
+    "raw_inferred": f"""WITH p AS ({POSTINGS}) SELECT record_no, title, location,
+        description AS snippet, CASE WHEN record_no % 5 = 0 THEN record_no / 4 END AS score,
+        CASE WHEN record_no % 2 = 0 THEN CAST(record_no AS VARCHAR) ELSE date_text END AS mixed,
+        CASE WHEN record_no % 3 = 0 THEN record_no * 2 END AS n,
+        CASE WHEN record_no % 3 = 0 THEN title END AS tag FROM p""",
+    "html_nested_text": f"""WITH p AS (SELECT page_id, regexp_replace(html, '<nav>.*?</nav>', '', 's') AS html
+        FROM pages) SELECT page_id, {html_text('html')} AS body FROM p""",
     "html_text": f"SELECT page_id, {html_text('html')} AS body FROM pages",
     "clean_description": on_postings(clean_description("description"), "body"),
     "clean_title": on_postings(clean_title("title"), "job_title"),

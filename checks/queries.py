@@ -60,6 +60,7 @@ dictionary = _view(inputs.DICTIONARY, nation=None, part=None, customer=None, doc
 terms = _view(inputs.TERMS, part=None, documents=None)
 postings = _view(inputs.POSTINGS, documents="doc_id", customer=None)
 date_texts = _view(inputs.DATE_TEXTS, orders=None)
+nested_pages = _view(inputs.NESTED_PAGES, pages="page_id")
 posting_pages = _view(inputs.POSTING_PAGES, pages="page_id")
 
 
@@ -139,6 +140,24 @@ def raw_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select("record_no", "title", "company", "location", "date", "snippet", "url")
 
 
+def raw_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw table read with the keys of all payloads; some keys stand in some rows only, and
+    one holds numbers and texts."""
+    raw = raw_records(spark, sf, "jooble")
+    number = F.col("record_no")
+    extra = F.when(number % 3 == 0, F.struct(
+        (number * 2).alias("n"), F.array(F.col("title")).alias("tags")))
+    payload = lambda mixed: F.to_json(F.struct(
+        "title", "location", "snippet", extra.alias("extra"),
+        F.when(number % 5 == 0, number / 4).alias("score"), mixed.alias("mixed")))
+    stored = raw.select("record_no", F.when(number % 2 == 0, payload(number)).otherwise(
+        payload(F.col("date"))).alias("raw_data"))
+    parsed = readers.parse_raw(stored)
+    return parsed.select(
+        "record_no", "title", "location", "snippet", "score", "mixed",
+        F.col("extra.n").alias("n"), F.get("extra.tags", F.lit(0)).alias("tag"))
+
+
 # ------------------------------------------------------------- column functions
 def _column(name: str, value: Callable[[], Column], source: Query = postings) -> Query:
     return lambda spark, sf: source(spark, sf).select("record_no", value().alias(name))
@@ -147,6 +166,8 @@ def _column(name: str, value: Callable[[], Column], source: Query = postings) ->
 _c = F.col
 html_text: Query = lambda spark, sf: text_table(spark, sf, "pages", "page_id").select(
     "page_id", text.html_to_text(_c("html")).alias("body"))
+html_nested_text: Query = lambda spark, sf: nested_pages(spark, sf).select(
+    "page_id", text.html_to_text(_c("html")).alias("body"))
 clean_description = _column("body", lambda: text.clean_description(_c("description")))
 clean_title = _column("job_title", lambda: text.clean_title(_c("title")))
 title_characters = _column("job_title", lambda: text.keep_title_characters(_c("description")))
@@ -434,7 +455,9 @@ QUERIES: dict[str, Query] = {
     "union_sources": union_sources,
     "skip_reasons": skip_reasons,
     "raw_payloads": raw_payloads,
+    "raw_inferred": raw_inferred,
     "html_text": html_text,
+    "html_nested_text": html_nested_text,
     "clean_description": clean_description,
     "clean_title": clean_title,
     "title_characters": title_characters,

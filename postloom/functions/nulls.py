@@ -28,10 +28,15 @@ def normalize_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> Data
         f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)
     }
     return df.select(*[
-        null_words_to_null(F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns
+        null_words_to_null(quoted(c)).alias(c) if c in chosen else quoted(c) for c in df.columns
     ])
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def first_filled(*values: Column) -> Column:
     """First value that is neither null nor empty."""
     return F.coalesce(*[F.nullif(v, F.lit("")) for v in values])

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
+from postloom.functions.html import HIDDEN, texts, visible_texts
 from postloom.functions.regex import (
     SPACE, SPACE_CHARACTERS, WORD, collapse, contains_any, first_listed, let, one_of, quote, strip, word_map,
 )
@@ -15,16 +16,7 @@ from postloom.functions.regex import (
 # --------------------------------------------------------------------------
 # HTML
 # --------------------------------------------------------------------------
-# A possessive group is matched in a loop, so the matcher's stack stays flat.
-_TAG_BODY = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
-# What separates two text nodes: comments, blocks without visible text, tags.
-HTML_BREAK = (
-    r"(?is)<(?:!--.*?-->"
-    r"|(script|style|template|rt|rp)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
-    r"|[!?][^>]*+>"
-    rf"|/?[a-z](?:{_TAG_BODY}|[^>]*+>))"
-)
-
+_HIDES = rf"(?i)<(?:{'|'.join(HIDDEN)})\b"
 # entity name -> character; numbers 128-159 mean the Windows code page
 _ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
 # the other names of HTML 5, looked up only where the common ones have no entry
@@ -79,8 +71,9 @@ def html_to_text(html: Column, separator: str = " ") -> Column:
         return strip(decode_entities(node))
 
     def extract(source: Column) -> Column:
-        nodes = F.filter(
-            F.transform(F.split(source, HTML_BREAK), visible), lambda n: n != "")
+        # only texts with an element that hides its content need the stack of open elements
+        pieces = F.when(source.rlike(_HIDES), visible_texts(source)).otherwise(texts(source))
+        nodes = F.filter(F.transform(pieces, visible), lambda n: n != "")
         return F.when(source.contains("<"), F.array_join(nodes, separator)).otherwise(
             visible(source))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
+from postloom.functions.html import element_html, has_class, has_value
 from postloom.functions.nulls import first_filled
 from postloom.functions.regex import SPACE, collapse, contains_any, let, strip
 from postloom.functions.text import decode_entities, html_to_text
@@ -25,8 +26,6 @@ class LinkRules:
     social: tuple[str, ...] = tuple(W.SOCIAL_LINK_HOSTS)
 
 
-MAX_CHARS = 2**31 - 1  # "to the end" for substring
-
 _HREF = r"""(?is)<a\b[^>]*?[\s"']href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
@@ -67,41 +66,6 @@ def page_links(pages: DataFrame, rules: LinkRules = LinkRules(), page: str = "pa
     return pages.select(page, F.explode(wanted).alias("url"))
 
 
-def element_html(html: Column, tag: str, attribute: str) -> Column:
-    """Inner HTML of the first ``tag`` whose opening has the attribute, or NULL.
-
-    Elements of the same tag nest, so the closing tag is the one where the depth
-    returns to zero.  An element that is never closed reaches to the end.
-    """
-    rest = F.regexp_extract(html, rf"(?is)<{tag}\b{attribute}[^>]*(>.*)\z", 1)
-
-    def inner(pieces: Column) -> Column:
-        # depth after each piece; the first piece is inside the element
-        def step(state: Column, piece: Column) -> Column:
-            change = F.when(piece.rlike(rf"(?i)\A<{tag}\b"), 1).when(
-                piece.rlike(rf"(?i)\A</{tag}\b"), -1).otherwise(0)
-            depth = state["depth"] + change
-            open_ = state["open"] & (depth > 0)
-            return F.struct(
-                depth.alias("depth"), open_.alias("open"),
-                (state["n"] + open_.cast("int")).alias("n"))
-
-        start = F.struct(F.lit(1).alias("depth"), F.lit(True).alias("open"), F.lit(0).alias("n"))
-        n = F.aggregate(pieces, start, step, lambda s: s["n"])
-        return F.substring(F.array_join(F.slice(pieces, 1, n), ""), 2, MAX_CHARS)
-
-    return let(rest, lambda r: F.when(
-        r != "", let(F.split(r, rf"(?i)(?=</?{tag}\b)"), inner)))
-
-
-def _with_class(name: str) -> str:
-    return rf"""[^>]*?\sclass\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["']"""
-
-
-def _with_value(attribute: str, value: str) -> str:
-    return rf"""[^>]*?\s{attribute}\s*=\s*["']?{value}["'\s>]?"""
-
-
 LD_SCHEMA = (
     "array<struct<`@type`: string, title: string, datePosted: string, description: string, "
     "employmentType: string, hiringOrganization: struct<name: string>>>"
@@ -130,11 +94,11 @@ def page_postings(pages: DataFrame, extracted_at: Column, source: str = "tanqeeb
     no_sep = lambda element: html_to_text(element, "")
     default = F.lit(W.NOT_SPECIFIED)
     title = F.coalesce(
-        element_html(html, "h3", _with_class("job-title-text")), element_html(html, "h1", ""))
-    place = html_to_text(element_html(html, "div", _with_class("job-meta-item")))
+        element_html(html, "h3", has_class("job-title-text")), element_html(html, "h1"))
+    place = html_to_text(element_html(html, "div", has_class("job-meta-item")))
     body = F.coalesce(
-        element_html(html, "div", _with_value("id", "jobDescriptionBody")),
-        element_html(html, "div", _with_value("data-jb-field", "description")))
+        element_html(html, "div", has_value("id", "jobDescriptionBody")),
+        element_html(html, "div", has_value("data-jb-field", "description")))
     description = F.when(body.isNotNull(), html_to_text(body, "\n")).otherwise(
         html_to_text(ld["description"], "\n"))
     # both are filtered on below: made once, see compute_once
@@ -151,7 +115,7 @@ def page_postings(pages: DataFrame, extracted_at: Column, source: str = "tanqeeb
         "job_title",
         first_filled(
             ld["hiringOrganization"]["name"],
-            no_sep(element_html(html, "a", _with_class("job-meta-company"))), default,
+            no_sep(element_html(html, "a", has_class("job-meta-company"))), default,
         ).alias("company_name"),
         collapse(first_filled(place, F.lit(W.COUNTRY))).alias("location"),
         F.substring_index(F.coalesce(ld["datePosted"], default), "T", 1).alias("posted_date"),
