@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import wordlists as W
+from postloom.functions.arrays import running_starts
 from postloom.functions.regex import (
     SPACE, WORD, is_word_char, let, strip, whole_word_scans, word_array, word_map,
 )
@@ -207,33 +208,6 @@ def union_skills(given: Column, extracted: Column) -> Column:
     return F.array_sort(F.filter(normal, lambda s: s != ""))
 
 
-_CHUNK = 128  # tokens whose offsets are added up together
-
-
-def _token_offsets(text_tokens: Column) -> Column:
-    """Number of characters in front of each token.
-
-    Running sums in chunks: arrays that grow by one stay short, so the work is not the
-    square of the number of tokens.
-    """
-    def sums(values: Column, start: Column) -> Column:
-        empty = F.struct(start.alias("at"), F.array().cast("array<int>").alias("starts"))
-        return F.aggregate(values, empty, lambda s, v: F.struct(
-            (s["at"] + v).alias("at"), F.array_append(s["starts"], s["at"]).alias("starts")),
-            lambda s: s["starts"])
-
-    def add_up(lengths: Column) -> Column:
-        chunks = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _CHUNK).cast("int")),
-            lambda c: F.slice(lengths, c * _CHUNK + 1, _CHUNK))
-        return let(chunks, lambda cs: let(
-            F.transform(cs, lambda c: F.aggregate(c, F.lit(0), lambda a, v: a + v)),
-            lambda totals: F.flatten(F.zip_with(cs, sums(totals, F.lit(0)), sums))))
-
-    return let(F.transform(text_tokens, lambda t: F.length(t)), lambda lengths: F.when(
-        F.size(lengths) > 0, add_up(lengths)).otherwise(F.array().cast("array<int>")))
-
-
 def skill_contexts(text: Column, skills: Column, window: int = 50) -> Column:
     """Map skill -> the text around each of its occurrences.
 
@@ -270,7 +244,7 @@ def skill_contexts(text: Column, skills: Column, window: int = 50) -> Column:
     def entries(original: Column, lowered: Column) -> Column:
         named = F.filter(skills, lambda s: lowered.contains(s))
         listed = let(tokens(lowered), lambda ts: F.arrays_zip(
-            ts.alias("token"), _token_offsets(ts).alias("at")))
+            ts.alias("token"), running_starts(F.transform(ts, lambda t: F.length(t))).alias("at")))
         return F.when(F.size(named) > 0, let(listed, lambda places: F.transform(
             named, lambda s: F.struct(
                 s.alias("key"), around(s, original, lowered, places).alias("value")))))
