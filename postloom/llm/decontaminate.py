@@ -12,10 +12,11 @@ count as hit. Both hashes are chains of 64-bit XXH64 over all words of their ran
 Benchmark tables are small, yet their size is checked: up to ``BROADCAST_ROWS`` windows they
 are broadcast, beyond that Spark joins by shuffle.
 
-Defined cases: null and empty texts have no words; rows that share an id are one document
-(n_words of the longest, hits of all); repeated items count by distinct item_id, an item
-without id is searched but not listed; with an empty benchmark nothing is hit; an empty table
-gives an empty result; extra columns are not read.
+Defined cases: null and empty texts have no words; every row is a document, also where rows
+have no id or share one, and each is judged by its own text; repeated items count by distinct
+item_id, an item without id is searched but not listed; with an empty benchmark nothing is hit;
+an empty table gives an empty result; extra columns are not read by ``hits`` and pass unchanged
+through ``drop_contaminated``, whatever their names.
 
 Scale: one scan of the corpus; with a broadcast benchmark only matched windows are shuffled.
 Per document the matched starts are collected, never more than its words.
@@ -28,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import row_key, with_row_key, written
+from postloom.llm.common import packed, row_key, unpacked, written
 
 WINDOW = 10
 GRAM = 4
@@ -104,17 +105,22 @@ def _checked(df: DataFrame) -> DataFrame:
 def hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items (sorted strings)."""
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), words(text).alias("_words"))
-    rows, listed = _matched(texts, ["doc_id"], benchmark, item_id, item_text)
-    item_rows = None
-    if listed is not None:
-        item_rows = rows.where("len > 0").select("doc_id", "len", "whole").distinct().join(
-            _checked(listed), ["len", "whole"]).groupBy("doc_id").agg(
-            F.array_sort(F.collect_set("item")).alias("items"))
-    place = F.struct("start", "len")
-    per_doc = rows.groupBy("doc_id").agg(
-        F.max(F.when(F.col("len") == 0, F.col("start"))).cast("long").alias("n_words"),
-        F.array_sort(F.collect_set(F.when(F.col("len") > 0, place))).alias("places"))
+    key = ["_k1", "_k2"]  # of id and text: equal rows have the same hits
+    texts = docs.select(
+        *row_key(doc_id, text), F.col(doc_id).cast("long").alias("doc_id"),
+        words(text).alias("_words"))
+    rows, listed = _matched(texts, [*key, "doc_id"], benchmark, item_id, item_text)
+    every = rows.where("len = 0").select(
+        *key, "doc_id", F.col("start").cast("long").alias("n_words"))
+    none = F.array().cast("array<string>")
+    if listed is None:
+        return every.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"),
+                            F.lit(0).cast("long").alias("n_items"), none.alias("items"))
+    item_rows = rows.where("len > 0").select(*key, "len", "whole").distinct().join(
+        _checked(listed), ["len", "whole"]).groupBy(*key).agg(
+        F.array_sort(F.collect_set("item")).alias("items"))
+    matched = rows.where("len > 0").groupBy(*key).agg(
+        F.array_sort(F.collect_set(F.struct("start", "len"))).alias("places"))
     covered = F.aggregate(
         "places", F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
         lambda acc, x: F.struct(
@@ -122,15 +128,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
             (acc["n"] + F.greatest(F.lit(0), x["start"] + x["len"] - F.greatest(
                 acc["end"], x["start"]))).alias("n")),
         lambda acc: acc["n"])
-    per_doc = per_doc.select("doc_id", "n_words", covered.alias("n_hit"))
-    none = F.array().cast("array<string>")
-    if item_rows is None:
-        result = per_doc.withColumn("items", none)
-    else:
-        items_of = item_rows.withColumnRenamed("doc_id", "_id")
-        result = per_doc.join(
-            items_of, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
-        result = result.withColumn("items", F.coalesce("items", none))
+    hit = matched.select(*key, covered.alias("n_hit")).join(item_rows, key, "left")
+    # one row for each text with a hit, as a table of its own: a text that many rows hold is split
+    hit = written(docs.sparkSession, hit, "hit-texts")
+    result = every.join(hit, key, "left").withColumns({
+        "items": F.coalesce("items", none), "n_hit": F.coalesce("n_hit", F.lit(0).cast("long"))})
     return result.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
 
@@ -179,5 +181,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
     rows, _ = _matched(texts, ["_k1", "_k2"], benchmark, "item_id", "text")
     bad = written(docs.sparkSession, rows.where("len > 0").select("_k1", "_k2").distinct(),
                   "contaminated")
-    return with_row_key(docs, doc_id, text).join(bad, ["_k1", "_k2"], "left_anti").drop(
-        "_k1", "_k2")
+    rows = packed(docs, *row_key(doc_id, text))
+    return unpacked(rows.join(bad, ["_k1", "_k2"], "left_anti"))
