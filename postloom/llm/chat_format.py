@@ -6,15 +6,18 @@ Grammar of the output::
     turn         := "<|" role "|>" text "</s>"
 
 A deterministic parser splits at every ``</s>``, takes the role between the first ``<|`` and
-``|>`` and the rest as text, and takes escapes back. A role or text is written raw; if the
+``|>`` and the rest as text, and takes escapes back. A control string anywhere else is a mark
+that the grammar does not allow there, so such a turn is not recovered: a text cannot forge
+a role. A role or text is written raw; if the
 parser does not recover exactly that turn from it, its control strings are escaped; if that
 fails too, every backslash, ``<``, ``|`` and ``[`` is. Escapes are ``\b`` for a backslash,
 ``\l`` for ``<``, ``\p`` for ``|`` and ``\s`` for ``[``, so nothing is lost. After rendering,
 the whole conversation is parsed again and must equal its source.
 
-The loss mask is the list of spans (start, length in code points) of assistant texts in the
-output. Everything the query reports is read back from the output: turns from the parser,
-loss text from the spans.
+The loss mask is the list of spans (start, length in code points; the same in UTF-8 bytes, from
+where a reader can cut without counting characters) of assistant texts in the output. Everything
+the query reports is read back from the output: turns from the parser, loss text from the spans.
+Starts are running sums in chunks, so work grows with the output, not with its square.
 
 Defined cases: turns are ordered by turn, then role, then text, nulls first; repeated rows are
 repeated turns; null role and null text are empty; a null conversation id is one conversation;
@@ -30,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.functions.arrays import running_starts
+
 OPEN, SHUT, END = "<|", "|>", "</s>"
 #: Strings that a reader of the output, or of a common template, could take for a mark.
 CONTROL = (END, OPEN, SHUT, "[INST]", "[/INST]", "<s>")
@@ -69,10 +74,12 @@ def _rendered(role: Column, text: Column) -> Column:
 def _turn(piece: Column) -> Column:
     """Role and text of a rendered turn without its end mark, still escaped."""
     at = F.locate(SHUT, piece)
+    role = F.substring(piece, F.lit(len(OPEN) + 1), at - len(OPEN) - 1)
+    text = F.substring(piece, at + len(SHUT), F.length(piece))
     ok = piece.startswith(OPEN) & (at > 0)
-    return F.when(ok, F.struct(
-        F.substring(piece, F.lit(len(OPEN) + 1), at - len(OPEN) - 1).alias("role"),
-        F.substring(piece, at + len(SHUT), F.length(piece)).alias("text")))
+    for mark in CONTROL:
+        ok = ok & ~role.contains(mark) & ~text.contains(mark)
+    return F.when(ok, F.struct(role.alias("role"), text.alias("text")))
 
 
 def parse(formatted: Column) -> Column:
@@ -110,28 +117,32 @@ def format_conversations(
             F.col("back") == F.transform("turns", lambda t: F.struct(
                 t["role"].alias("role"), t["text"].alias("text"))), F.col("formatted"))
         .otherwise(F.raise_error(F.lit("a conversation does not parse back to its source"))))
+    head = lambda t: F.locate(SHUT, t["piece"]) + len(SHUT) - 1
+    size = lambda c: F.octet_length(c)
     pieces = F.transform("turns", lambda t: F.struct(
-        t["role"].alias("role"), F.length(t["piece"]).alias("n"),
-        (F.locate(SHUT, t["piece"]) + len(SHUT) - 1).alias("head")))
-    # the number of characters in front of each turn, from the lengths of the pieces
+        t["role"].alias("role"), F.length(t["piece"]).alias("n"), size(t["piece"]).alias("bytes"),
+        head(t).alias("head"), size(F.substring(t["piece"], F.lit(1), head(t))).alias("head_bytes")))
     placed = checked.select("conv_id", "formatted", pieces.alias("pieces"))
-    spread = placed.select("conv_id", "formatted", F.expr(
-        "transform(pieces, (p, i) -> struct(p.role AS role, p.head AS head, p.n AS n))"
-    ).alias("pieces"), F.aggregate(
-        F.transform("pieces", lambda p: p["n"]),
-        F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)),
-    ).alias("starts"))
-    return spread.select("conv_id", "formatted", F.filter(
-        F.transform("pieces", lambda p, i: F.when(p["role"] == TRAINED, F.struct(
-            (F.get("starts", i) + p["head"] + 1).alias("start"),
-            (p["n"] - p["head"] - len(END)).alias("length")))),
-        lambda s: s.isNotNull()).alias("mask"))
+    starts = placed.withColumns({
+        "starts": running_starts(F.transform("pieces", lambda p: p["n"])),
+        "byte_starts": running_starts(F.transform("pieces", lambda p: p["bytes"]))})
+    spans = F.transform(
+        F.arrays_zip("pieces", "starts", "byte_starts"), lambda z: F.when(
+            z["pieces"]["role"] == TRAINED, F.struct(
+                (z["starts"] + z["pieces"]["head"] + 1).alias("start"),
+                (z["pieces"]["n"] - z["pieces"]["head"] - len(END)).alias("length"),
+                (z["byte_starts"] + z["pieces"]["head_bytes"] + 1).alias("start_byte"),
+                (z["pieces"]["bytes"] - z["pieces"]["head_bytes"] - len(END)).alias("n_bytes"))))
+    return starts.select(
+        "conv_id", "formatted", F.filter(spans, lambda s: s.isNotNull()).alias("mask"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Turns and loss text recovered from the outputs alone."""
-    loss = F.array_join(F.transform("mask", lambda s: unescape(
-        F.substring(F.col("formatted"), s["start"], s["length"]))), "")
+    raw = F.col("formatted").cast("binary")
+    loss = F.element_at(F.transform(F.array(raw), lambda b: F.array_join(F.transform(
+        "mask", lambda s: unescape(F.substring(b, s["start_byte"], s["n_bytes"]).cast("string"))),
+        "")), 1)
     return formatted.select(
         "conv_id", parse(F.col("formatted")).alias("turns"), loss.alias("loss"),
         F.length("formatted").cast("long").alias("formatted_chars"))
