@@ -2,8 +2,9 @@
 
 A text is cut into sentences (at . ! ? before white space, and at line ends; a sentence of
 more than ``MAX_WORDS`` words is cut every so many words, so that a long sentence also has
-runs). Every run of ``SPAN`` consecutive sentences with at least ``MIN_WORDS`` words is
-hashed (white space folded). Runs of all documents meet in one hash aggregate; a run that
+runs). From every sentence on a run of ``SPAN`` consecutive sentences is hashed (white space
+folded); one of fewer than ``MIN_WORDS`` words grows over the sentences behind it until it has
+them, or the text ends. Runs of all documents meet in one hash aggregate; a run that
 two documents hold is kept in the document with the smallest id and removed in the others,
 and inside one document only its first place stays. A sentence goes if any run over it goes.
 
@@ -15,9 +16,13 @@ window go, and a sentence is cut where the repeat begins and ends; fewer than ``
 of a passage may stay at either end of it. Inside one document every window counts.
 
 Defined cases: null text stays null; an empty text or one of fewer than ``SPAN`` sentences
-has no run; rows that share an id count as one document (their own repeats inside a row still
-go); a null id counts as smaller than all others; an empty table gives an empty result; extra
-columns pass unchanged.
+has no run; every row is a document, ordered by id (null first), then by a hash of the text, so of
+rows that share an id, or are equal, the first keeps what they share; an empty table gives an
+empty result; extra columns pass unchanged, whatever their names (own ``n_sentences`` and
+``n_removed`` are replaced).
+
+Owners of runs are the ids where each row has one of its own, which is counted first. Else the rows
+are sorted in ranges and written with a number that follows the order.
 
 Scale: the corpus is read twice and its text is shuffled once at most. What is grouped are
 (hash, id) pairs, one per run or kept window and document, combined before the shuffle, so a passage that a
@@ -34,13 +39,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import arrow_rows, utf8, with_columns_mapped, written
+from postloom.llm.common import (
+    arrow_rows, every_column, row_key, unused, utf8, with_columns_mapped, written,
+)
 
 SPAN = 3
 MAX_WORDS = 20
 MIN_WORDS = 10
 GRAM, SPREAD = 20, 16
-NO_ID = -(2**63)
 
 _END = re.compile(rb"[.!?]+\s+|\n\s*")
 _WORD = re.compile(rb"\s*\S+\s*")
@@ -67,17 +73,20 @@ def sentences(data: bytes) -> list[bytes]:
     return out
 
 
-def run_hashes(parts: list[bytes]) -> list[int | None]:
-    """Signed 64-bit hash of the run that starts at each sentence; None where it is too short."""
+def run_hashes(parts: list[bytes]) -> list[tuple[int, int]]:
+    """Signed 64-bit hash and end of the run that starts at each sentence."""
     words = [p.split() for p in parts]
     folded = [b" ".join(w) for w in words]
-    out: list[int | None] = []
+    sizes = [len(w) for w in words]
+    out: list[tuple[int, int]] = []
+    end, n = 0, 0
     for i in range(len(parts) - SPAN + 1):
-        if sum(len(w) for w in words[i:i + SPAN]) < MIN_WORDS:
-            out.append(None)
-        else:
-            value = xxhash.xxh64_intdigest(b"\n".join(folded[i:i + SPAN]))
-            out.append(value - 2**64 if value >= 2**63 else value)
+        while end < len(parts) and (end < i + SPAN or n < MIN_WORDS):
+            n += sizes[end]
+            end += 1
+        value = xxhash.xxh64_intdigest(b"\n".join(folded[i:end]))
+        out.append((value - 2**64 if value >= 2**63 else value, end))
+        n -= sizes[i]
     return out
 
 
@@ -123,7 +132,7 @@ def repeated_words(hashes: np.ndarray, gone: np.ndarray) -> np.ndarray:
 def _scan(ids: list, texts: list):
     runs, owners = [], []
     for doc_id, data in zip(ids, texts, strict=True):
-        found = {h for h in run_hashes(sentences(data)) if h is not None}
+        found = {h for h, _ in run_hashes(sentences(data))}
         found.update(kept_grams(gram_hashes(data.split())).tolist())
         runs.extend(found)
         owners.append(np.full(len(found), doc_id, dtype=np.int64))
@@ -159,11 +168,9 @@ def cut_runs(data: bytes, gone: set[int]) -> tuple[bytes, int, int]:
     parts = sentences(data)
     drop = [False] * len(parts)
     seen: set[int] = set()
-    for i, h in enumerate(run_hashes(parts)):
-        if h is None:
-            continue
+    for i, (h, end) in enumerate(run_hashes(parts)):
         if h in gone or h in seen:
-            drop[i:i + SPAN] = [True] * SPAN
+            drop[i:end] = [True] * (end - i)
         seen.add(h)
     hashes = gram_hashes(data.split())
     if len(hashes):
@@ -176,10 +183,33 @@ def cut_runs(data: bytes, gone: set[int]) -> tuple[bytes, int, int]:
     return b"".join(p for p, d in zip(parts, drop, strict=True) if not d), len(parts), removed
 
 
+def numbered(docs: DataFrame, name: str, doc_id: str, text: str) -> DataFrame:
+    """``docs`` as a written table with a number for each row that follows the order of ids.
+
+    Rows are sorted in ranges of (id, hash of the text), so an id that many rows share is
+    spread; the number of a row is that of its range and its place there.
+    """
+    k1, k2 = unused(docs, "_k1", "_k2")
+    key = [c.alias(n) for c, n in zip(row_key(doc_id, text), (k1, k2), strict=True)]
+    order = [F.asc_nulls_first(doc_id), F.col(k1), F.col(k2)]
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism,
+                int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = docs.select("*", *key).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return written(docs.sparkSession, ranges.withColumn(
+        name, F.monotonically_increasing_id()).drop(k1, k2), "numbered")
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated sentences cut from ``text``; adds n_sentences and n_removed."""
     spark = docs.sparkSession
-    owner = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
+    docs = docs.select(*[c for c, n in zip(every_column(docs), docs.columns, strict=True)
+                         if n.lower() not in ("n_sentences", "n_removed")])
+    own, gone_runs = unused(docs, "_owner", "_gone")
+    shared = docs.groupBy(F.col(doc_id).cast("long").alias("id")).agg(F.count("*").alias("n"))
+    if shared.where("n > 1 or id is null").isEmpty():
+        owner = F.col(doc_id).cast("long")
+    else:
+        docs, owner = numbered(docs, own, doc_id, text), F.col(own)
     runs = written(spark, arrow_rows(
         docs.select(owner.alias("id"), utf8(text).alias("data")), _scan,
         "run long, owner long"), "runs")
@@ -187,10 +217,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.min("owner").alias("first"), F.max("owner").alias("last")
     ).where(F.col("first") < F.col("last")).drop("last")
     gone = written(spark, runs.join(first, "run").where(F.col("owner") > F.col("first"))
-                   .groupBy("owner").agg(F.collect_set("run").alias("_gone")), "repeats")
-    kept = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
-    joined = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("_owner", owner).join(
-        gone.withColumnRenamed("owner", "_owner"), "_owner", "left")
+                   .groupBy("owner").agg(F.collect_set("run").alias(gone_runs)), "repeats")
+    joined = docs.withColumn(own, owner).join(gone.withColumnRenamed("owner", own), own, "left")
 
     def cut(texts: list, gone: list) -> dict[str, list]:
         done = [(None, 0, 0) if t is None else cut_runs(t.encode(), set(g or ()))
@@ -198,5 +226,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         return {text: [None if d is None else d.decode() for d, _, _ in done],
                 "n_sentences": [n for _, n, _ in done], "n_removed": [r for _, _, r in done]}
 
-    return with_columns_mapped(joined, cut, [text, "_gone"], "n_sentences int, n_removed int",
-                               dropped=("_owner", "_gone"))
+    return with_columns_mapped(joined, cut, [text, gone_runs], "n_sentences int, n_removed int",
+                               dropped=(own, gone_runs))
