@@ -1,18 +1,20 @@
 """Toxicity by compression distance: two zstandard dictionaries, windows, thresholds.
 
 Training (bounded sample, see ``PER_CLASS`` and ``MAX_TRAIN_BYTES``): the ordinary dictionary
-holds the most common words of ordinary texts; the toxic one holds those words of toxic texts
-that contain a byte n-gram which toxic texts have far more often than ordinary ones. Neither
-sees labels of held-out rows.
+holds the most common words of ordinary texts. The toxic one holds the stems of toxic texts: of
+each word the stretch of byte n-grams (the blank in front of a word counts) that a word of a toxic
+text has ``RATIO`` times as often as one of an ordinary text. How often they occur counts, not in how many
+texts, so that stems which ordinary texts form by chance are told from stems that toxic texts
+keep using, in every language. Neither dictionary sees labels of held-out rows.
 
 Scoring: every window (a word between spaces) is compressed with both dictionaries. Bytes are
 doubled, so that a byte that no dictionary covers costs two, and a fixed carrier that both
 dictionaries end with stands in front, so that no window is too short to be compressed. The gain
-of a window is its length under the ordinary dictionary minus that under the toxic one, less a
-calibrated share of the length that the toxic dictionary leaves. The document's features are
-its largest gain and the sum of its four largest; a logistic function fitted on a part of the sample that
-the dictionaries did not see turns them into the score, and the threshold is calibrated so that 0.3
-separates.
+of a window is its length under the ordinary dictionary minus that under the toxic one. The
+document's features are the shares of windows whose gain reaches each of ``STEPS``, and the mean of
+the positive gains: both relative to the length of the text. A logistic function fitted on a part of
+the sample that the dictionaries did not see turns them into the score, and the threshold is
+calibrated so that 0.3 separates.
 
 Defined cases: null and empty texts have no window and get the score of a text without any gain;
 rows that share an id each have their row; without usable labels of both kinds every score is
@@ -38,6 +40,9 @@ from postloom.llm.common import arrow_rows, labelled_sample, utf8
 PER_CLASS = {0: 1800, 1: 900}
 MAX_TRAIN_BYTES = 20_000
 GRAMS = (4, 6)
+RATIO, LEAST_SHARE = 15, 0.02
+STEPS = (1, 2, 3, 4, 5, 6, 8, 10)
+SHORT = 20  # windows that every text has beside its own, so that short ones have no high shares
 ORDINARY_BYTES, TOXIC_BYTES = 65536, 8192
 CUT = 0.3
 REMEMBERED = 200_000
@@ -60,20 +65,60 @@ def _grams(window: bytes) -> set[bytes]:
     return {window[i:i + n] for n in GRAMS for i in range(len(window) - n + 1)}
 
 
-def _in_texts(texts: list[bytes], of) -> Counter:
-    """In how many texts each part occurs."""
+def _in_texts(texts: list[bytes]) -> Counter:
+    """In how many texts each window occurs."""
     counts: Counter[bytes] = Counter()
     for text in texts:
-        counts.update(set().union(*map(of, set(windows(text)))) if text.strip() else ())
+        counts.update(set(windows(text)))
     return counts
 
 
+def _gram_counts(texts: list[bytes]) -> tuple[Counter, Counter, int]:
+    """Occurrences of each n-gram, in how many texts it is, and the number of windows.
+
+    A text that repeats itself counts a window three times and an n-gram twelve times at most.
+    """
+    occurrences: Counter[bytes] = Counter()
+    inside: Counter[bytes] = Counter()
+    total = 0
+    for text in texts:
+        own: Counter[bytes] = Counter()
+        for window, n in Counter(windows(text)).items():
+            total += n
+            for gram in _grams(window):
+                own[gram] += min(n, 3)
+        for gram, n in own.items():
+            occurrences[gram] += min(n, 12)
+        inside.update(own.keys())
+    return occurrences, inside, total
+
+
+def stem(window: bytes, telling: set[bytes]) -> bytes:
+    """From the first to the last byte of a window that a telling n-gram covers."""
+    places = [(i, i + n) for n in GRAMS for i in range(len(window) - n + 1)
+              if window[i:i + n] in telling]
+    return window[min(a for a, _ in places):max(b for _, b in places)] if places else b""
+
+
+def toxic_stems(toxic: list[bytes], ordinary: list[bytes]) -> Counter:
+    """Stems of toxic texts and in how many of them their words are."""
+    often, inside, words = _gram_counts(toxic)
+    elsewhere, _, other_words = _gram_counts(ordinary)
+    least = max(3, LEAST_SHARE * len(toxic)) if len(toxic) >= 20 else 2
+    telling = {g for g, n in often.items() if inside[g] >= least
+               and n / words >= RATIO * (elsewhere[g] + 0.5) / other_words}
+    stems: Counter[bytes] = Counter()
+    for window, n in _in_texts(toxic).items():
+        stems[stem(window, telling)] += n
+    del stems[b""]
+    return Counter({s: n for s, n in stems.items() if n >= least / 2})
+
+
 @dataclass
 class Model:
     ordinary: bytes
     toxic: bytes
-    left_share: float
-    weights: tuple[float, float, float]  # largest gain, four largest, constant
+    weights: tuple[float, ...]  # of the features, and a constant
 
     def __post_init__(self) -> None:
         self.known: dict[bytes, float] = {}
@@ -103,23 +148,22 @@ class Model:
         value = self.known.get(window)
         if value is None:
             plain, toxic = self._lengths(window)
-            value = plain - toxic - self.left_share * toxic
+            value = plain - toxic
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             if len(window) <= 64:
                 self.known[window] = value
         return value
 
-    def features(self, data: bytes) -> tuple[float, float]:
-        gains = sorted({w: self.gain(w) for w in windows(data)}.values(), reverse=True)[:4]
-        floor = -40.0
-        gains = [max(g, floor) for g in gains] + [floor] * (4 - len(gains))
-        return gains[0], sum(gains)
+    def features(self, data: bytes) -> np.ndarray:
+        gains = np.array([self.gain(w) for w in windows(data)], dtype=float)
+        n = len(gains) + SHORT
+        return np.array([*[(gains >= step).sum() / n for step in STEPS],
+                         np.maximum(gains, 0).sum() / n])
 
     def score(self, data: bytes) -> float:
-        a, b, c = self.weights
-        x, y = self.features(data)
-        return float(1 / (1 + np.exp(-np.clip(a * x + b * y + c, -30, 30))))
+        margin = self.features(data) @ np.array(self.weights[:-1]) + self.weights[-1]
+        return float(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> np.ndarray:
@@ -149,38 +193,27 @@ def train(sample: list[tuple[bytes, int]]) -> Model | None:
         random.Random(7).shuffle(all_texts)
         n = -(-2 * len(all_texts) // 3)
         fit[label], held[label] = all_texts[:n], all_texts[n:]
-    inside, outside = _in_texts(fit[1], _grams), _in_texts(fit[0], _grams)
-    least = max(3, 0.02 * len(fit[1])) if len(fit[1]) >= 20 else 2
-    telling = {
-        g for g, n in inside.items() if n >= least
-        and n / len(fit[1]) >= 30 * (outside[g] + 0.5) / len(fit[0])}
-    toxic = _in_texts(fit[1], lambda w: {w} if _grams(w) & telling else set())
-    common = _in_texts(fit[0], lambda w: {w})
+    stems, common = toxic_stems(fit[1], fit[0]), _in_texts(fit[0])
 
     def content(counts: Counter, size: int) -> bytes:
-        """The most common windows, the commonest last."""
+        """The most common parts, the commonest last."""
         ordered = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
         return _double(b"".join(w for w, _ in reversed(ordered[:size])))[-size:] + CARRIER
 
-    best = None
-    for share in (0.0, 0.25, 0.5, 1.0):
-        model = Model(content(common, ORDINARY_BYTES), content(toxic, TOXIC_BYTES), share, (0, 0, 0))
-        x = np.array([model.features(t) for k in (0, 1) for t in held[k]], dtype=float)
-        y = np.array([k for k in (0, 1) for _ in held[k]])
-        w = _logistic(x, y)
-        margin = x @ w[:-1] + w[-1]
-        # the threshold with the best mean of both classes' accuracy; it becomes the cut
-        grid = np.unique(margin)
-        middle = (grid[1:] + grid[:-1]) / 2 if len(grid) > 1 else grid
-        right = [((margin[y == 1] >= m).mean() + (margin[y == 0] < m).mean()) / 2 for m in middle]
-        top = np.flatnonzero(np.array(right) >= max(right) - 1e-12)
-        place = middle[top[len(top) // 2]]
-        if best is None or max(right) > best[0] + 1e-9:
-            constant = w[-1] - place + np.log(CUT / (1 - CUT))
-            model.weights = (float(w[0]), float(w[1]), float(constant))
-            best = max(right), model
-    best[1].known = {}
-    return best[1]
+    model = Model(content(common, ORDINARY_BYTES), content(stems, TOXIC_BYTES), ())
+    x = np.array([model.features(t) for k in (0, 1) for t in held[k]], dtype=float)
+    y = np.array([k for k in (0, 1) for _ in held[k]])
+    w = _logistic(x, y)
+    margin = x @ w[:-1] + w[-1]
+    # the threshold with the best mean of both classes' accuracy; it becomes the cut
+    grid = np.unique(margin)
+    middle = (grid[1:] + grid[:-1]) / 2 if len(grid) > 1 else grid
+    right = [((margin[y == 1] >= m).mean() + (margin[y == 0] < m).mean()) / 2 for m in middle]
+    top = np.flatnonzero(np.array(right) >= max(right) - 1e-12)
+    constant = w[-1] - middle[top[len(top) // 2]] + np.log(CUT / (1 - CUT))
+    model.weights = (*w[:-1].tolist(), float(constant))
+    model.known = {}
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic",
