@@ -121,31 +121,31 @@ _WORDS = ("list_filter(regexp_split_to_array(translate(coalesce({t}, ''), "
 
 ORACLES: dict[str, str] = {
     "op4_decontamination": f"""
-WITH d AS (SELECT doc_id, {_WORDS.format(t='text')} AS w FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(t='text')} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS.format(t='text')} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
   FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
     FROM b WHERE len(w) > 0)),
 lens AS (SELECT DISTINCT n FROM bw),
-dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
-  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
-hit AS (SELECT doc_id, dw.n, i, item_id FROM dw JOIN bw ON bw.n = dw.n AND bw.g = dw.g),
-places AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit),
-cover AS (SELECT doc_id, count(*) AS n_hit FROM places GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+dw AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
+hit AS (SELECT r, dw.n, i, item_id FROM dw JOIN bw ON bw.n = dw.n AND bw.g = dw.g),
+places AS (SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM hit),
+cover AS (SELECT r, count(*) AS n_hit FROM places GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY r)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)""",
+FROM d LEFT JOIN cover USING (r) LEFT JOIN items USING (r)""",
     "op5_chat_format": """
 WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
   FROM conversations
   UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]'
   FROM (SELECT unnest([0, 1]) AS i)),
 -- a control string or a backslash costs one character more, for each of its escapes
-c AS (SELECT *, CASE WHEN contains(role || text, '</s>') OR contains(text, '\\')
-    THEN len(replace(replace(replace(replace(replace(replace(replace(text, '\\', '\\b'),
+c AS (SELECT *, CASE WHEN contains(text, '\\') OR len(list_filter(['</s>', '<|', '|>', '[INST]', '[/INST]', '<s>'],
+      lambda m: contains(role, m) OR contains(text, m))) > 0 THEN len(replace(replace(replace(replace(replace(replace(replace(text, '\\', '\\b'),
       '</s>', '\\l/s>'), '<|', '\\l|'), '|>', '\\p>'), '[INST]', '\\sINST]'),
       '[/INST]', '\\s/INST]'), '<s>', '\\ls>')) ELSE len(text) END AS n FROM r)
 SELECT conv_id, count(*) AS n_turns,
