@@ -626,6 +626,8 @@ ORACLES: dict[str, str] = {
     "page_posting": PAGE_POSTING,
     "unseen_urls": f"""WITH {links_ctes()}, {SEEN} SELECT min(page_no) AS page_no, url
         FROM links ANTI JOIN seen USING (url) GROUP BY url""",
+    "unseen_by_bitmap": f"""WITH {links_ctes()}, {SEEN} SELECT min(page_no) AS page_no, url
+        FROM links ANTI JOIN seen USING (url) GROUP BY url""",
     "seen_urls": f"WITH {SEEN} SELECT url FROM seen",
     "link_stats": LINK_STATS,
     "sample_links": f"""WITH {links_ctes()} SELECT url FROM (SELECT DISTINCT url FROM links)
@@ -674,6 +676,8 @@ ORACLES: dict[str, str] = {
         strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_seen,
         strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_seen
         FROM events GROUP BY user_id, event_type""",
+    "stream_seen_table": f"""WITH {links_ctes()}, {SEEN}
+        SELECT DISTINCT url FROM links ANTI JOIN seen USING (url)""",
     "stream_unseen": f"""WITH {links_ctes()}, {SEEN}
         SELECT DISTINCT url FROM links ANTI JOIN seen USING (url)""",
 }

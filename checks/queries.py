@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from postloom.functions import dates, enrich, places, predicates, skills, text
-from postloom.operators import dedup, merge, reports, seen
+from postloom.operators import bitmap_filter, dedup, merge, reports, seen
 from postloom.operators.spread import spread
 from postloom.operators.vocabulary import match_terms
 from postloom.plans import marts
@@ -25,7 +25,7 @@ from postloom.sources import readers, records
 from postloom.sources.schemas import RAW_SCHEMAS
 from postloom.sources.writers import as_csv
 from postloom.streaming import links as link_stream
-from postloom.streaming import upsert
+from postloom.streaming import seen_table, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -286,13 +286,19 @@ def repost_counts(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.with_repost_count(documents, ["text"]).select("doc_id", "repost_count")
 
 
-def _event_merge(spark: SparkSession, sf: str) -> DataFrame:
+def event_batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """State after the early events, and the late ones as a batch."""
     events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value", "ts")
     keys = ["user_id", "event_type"]
     early = events.where(F.col("ts") < SPLIT).withColumns(
         {merge.FIRST: F.col("ts"), merge.LAST: F.col("ts")})
     existing = upsert.fold(early, keys, ["ts", "event_id"]).drop("ts")
-    batch = events.where(F.col("ts") >= SPLIT)
+    return existing, events.where(F.col("ts") >= SPLIT)
+
+
+def _event_merge(spark: SparkSession, sf: str) -> DataFrame:
+    existing, batch = event_batches(spark, sf)
+    keys = ["user_id", "event_type"]
     return merge.merge_seen(existing, batch, keys, F.lit(NOW), ["ts", "event_id"])
 
 
@@ -342,6 +348,11 @@ def unseen_urls(spark: SparkSession, sf: str) -> DataFrame:
     return seen.unseen(found_links(spark, sf), _seen_links(spark, sf), "url", ["page_no"])
 
 
+def unseen_by_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    return bitmap_filter.unseen_by_bitmap(
+        found_links(spark, sf), _seen_links(spark, sf), "url", ["page_no"])
+
+
 def link_stats(spark: SparkSession, sf: str) -> DataFrame:
     return reports.link_report(found_links(spark, sf), _seen_links(spark, sf))
 
@@ -450,6 +461,17 @@ def stream_unseen(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("url string").parquet(f"{folder}/links")
 
 
+def stream_seen_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Two queries, one after the other, over the same pages: each new link is given out once."""
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    for query in ("first", "second"):
+        pages = _stream(spark, sf, "pages").select(F.col("page_id").alias("page_no"), "html")
+        seen_table.start_unseen(
+            page_rules.page_links(pages, LINK_RULES), f"{folder}/seen", query,
+            f"{folder}/checkpoint-{query}", _seen_links(spark, sf)).awaitTermination()
+    return seen_table.seen_links(spark, f"{folder}/seen").select("url")
+
+
 QUERIES: dict[str, Query] = {
     **{f"standardize_{s}": _standardize(s) for s in SOURCES},
     "union_sources": union_sources,
@@ -492,6 +514,7 @@ QUERIES: dict[str, Query] = {
     "page_links": found_links,
     "page_posting": page_posting,
     "unseen_urls": unseen_urls,
+    "unseen_by_bitmap": unseen_by_bitmap,
     "seen_urls": _seen_links,
     "link_stats": link_stats,
     "sample_links": sample_links,
@@ -505,5 +528,6 @@ QUERIES: dict[str, Query] = {
     "mart_daily_rolling": mart_daily_rolling,
     "stream_upsert": stream_upsert,
     "stream_unseen": stream_unseen,
+    "stream_seen_table": stream_seen_table,
 }
 __all__ = ["QUERIES", "STAGING_COLUMNS"]

@@ -17,6 +17,8 @@ ORACLES: dict[str, str] = {
     "archive_appends": "SELECT event_id, user_id, event_type, value FROM events",
     "merged_state": f"""{O.EVENT_MERGE} SELECT user_id, event_type, event_id, value,
         {O.stamp('first_seen')}, {O.stamp('last_seen')} FROM merged""",
+    "merge_bucketed": f"""{O.EVENT_MERGE} SELECT user_id, event_type, event_id, value,
+        {O.stamp('first_seen')}, {O.stamp('last_seen')} FROM merged""",
     "staging_csv": O.ORACLES["standardize_jooble"],
     "staging_table": O.ORACLES["standardize_jooble"],
     "saved_links": f"WITH {O.links_ctes()} SELECT DISTINCT url FROM links",

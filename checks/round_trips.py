@@ -16,6 +16,7 @@ from postloom.plans.specs import SOURCES, STAGING_COLUMNS
 from postloom.plans.standardize import classify, prepare, standardize
 from postloom.session import shared_dir
 from postloom.sources import readers, writers
+from postloom.sources.bucketed import BucketedState
 from postloom.sources.schemas import RAW_SCHEMAS
 
 #: Records of one written array file.
@@ -87,6 +88,20 @@ def merged_state(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_state(spark, path, merged.schema)
 
 
+def merge_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge into a state of hash buckets, in two batches."""
+    keys = ("user_id", "event_type")
+    existing, batch = Q.event_batches(spark, sf)
+    schema = existing.schema
+    state = BucketedState(spark, _folder(spark, "buckets"), schema, keys, 16)
+    state.replace(existing, range(16))
+    for half in range(2):
+        part = batch.where(F.pmod("user_id", F.lit(2)) == half)
+        state.merge(part, F.lit(Q.NOW), ["ts", "event_id"])
+    return state.read().select(
+        *keys, "event_id", "value", Q.stamp("first_seen"), Q.stamp("last_seen"))
+
+
 def staging_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = _folder(spark, "csv")
     done = Q.standardized(spark, sf, "jooble")
@@ -145,6 +160,6 @@ def _level() -> Column:
 education_levels = Q._column("level", _level)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
-    land_and_standardize, raw_variant, json_arrays, archive_appends, merged_state, staging_csv,
-    staging_table, saved_links, record_keys, excluded_postings)}
+    land_and_standardize, raw_variant, json_arrays, archive_appends, merged_state, merge_bucketed,
+    staging_csv, staging_table, saved_links, record_keys, excluded_postings)}
 QUERIES["education_levels"] = education_levels

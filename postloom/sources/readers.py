@@ -169,6 +169,22 @@ def load_raw(
     return _or_empty(spark, numbered, lambda: parse_raw(spark.table(table), schema, payload))
 
 
+def _parsed(spark: SparkSession, schema: str) -> T.StructType:
+    return spark.range(0).select(F.from_json(F.lit(""), schema).alias("r")).select("r.*").schema
+
+
+def read_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet folder, partition columns included, that may not exist yet."""
+    parsed = _parsed(spark, schema)
+    return _or_empty(spark, parsed, lambda: spark.read.schema(parsed).parquet(path))
+
+
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines, partition columns included, that may not exist yet."""
+    parsed = _parsed(spark, schema)
+    return _or_empty(spark, parsed, lambda: spark.read.schema(parsed).json(path))
+
+
 def read_state(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Result of an earlier run as keyed state."""
     return _or_empty(spark, schema, lambda: spark.read.schema(schema).json(path))
