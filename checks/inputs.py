@@ -59,7 +59,7 @@ WHERE term <> '' AND term NOT LIKE '%,%'
 # Dates in several spellings, from the order dates.
 DATE_TEXTS = """
 SELECT o_orderkey AS record_no, o_orderdate,
-  CASE o_orderkey % 16
+  CASE o_orderkey % 24
     WHEN 0 THEN y || '-' || m || '-' || d WHEN 1 THEN y || '/' || m || '/' || d
     WHEN 2 THEN m || '/' || d || '/' || y WHEN 3 THEN y || m || d
     WHEN 4 THEN y || '-' || m || '-' || d || 'T23:30:00-08:00'
@@ -71,7 +71,13 @@ SELECT o_orderkey AS record_no, o_orderdate,
     WHEN 12 THEN d || ' ' || upper(mon) || ' ' || y
     WHEN 13 THEN y || '-' || m || '-' || d || ' 10:00:00 EST'
     WHEN 14 THEN y || '-' || m || '-' || d || 'T10:00:00+03'
-    ELSE y || '-' || m || '-' || d || 'T23:30:00Z' END AS date_text
+    WHEN 15 THEN y || '-' || m || '-' || d || 'T23:30:00Z'
+    WHEN 16 THEN 'Wednesday, ' || d || ' ' || mon || ' ' || y
+    WHEN 17 THEN mon || ' ' || CAST(day(o_orderdate) AS VARCHAR(2)) || CASE WHEN d IN ('01', '21', '31') THEN 'st'
+      WHEN d IN ('02', '22') THEN 'nd' WHEN d IN ('03', '23') THEN 'rd' ELSE 'th' END || ', ' || y
+    WHEN 18 THEN '10:15 PM ' || d || ' ' || mon || ' ' || y WHEN 19 THEN 'the ' || d || ' of ' || mon || ', ' || y
+    WHEN 20 THEN y || ' ' || mon || ' ' || d WHEN 21 THEN '23:59:59.5 GMT+3 ' || y || '/' || m || '/' || d
+    WHEN 22 THEN y || m || d || 'T101500' ELSE 'Sun, ' || d || ' ' || mon || ' ' || y || ' 22:10:00 +0300' END AS date_text
 FROM (SELECT o_orderkey, o_orderdate, CAST(year(o_orderdate) AS VARCHAR(4)) AS y,
         lpad(CAST(month(o_orderdate) AS VARCHAR(2)), 2, '0') AS m,
         lpad(CAST(day(o_orderdate) AS VARCHAR(2)), 2, '0') AS d,

@@ -637,6 +637,8 @@ ORACLES: dict[str, str] = {
     "search_plan": f"""SELECT n_name AS location, CAST(i - 1 AS BIGINT) AS keyword_no,
         ({texts(W.SEARCH_KEYWORDS)})[i] AS keyword
         FROM nation, range(1, {len(W.SEARCH_KEYWORDS) + 1}) AS k(i)""",
+    "search_queries": f"""SELECT keyword, keyword || ' jobs in ' || r_name AS query
+        FROM region, (SELECT unnest({texts(W.QUERY_KEYWORDS)}) AS keyword)""",
     "records_jooble": f"""WITH p AS ({POSTINGS}) SELECT coalesce(title, '') AS title, company,
         location, date_text AS date, '' AS salary, description AS snippet, url,
         'jooble' AS source, 'Riyadh' AS search_location, {EXTRACTED} AS extracted_at
@@ -663,6 +665,15 @@ ORACLES: dict[str, str] = {
           GROUP BY skill)
         SELECT skill, postings, round(postings / (SELECT count(*) FROM a), 6) AS share,
           rank() OVER (ORDER BY postings DESC) AS demand_rank FROM n""",
+    "mart_skill_pairs": f"""WITH a AS (SELECT row_number() OVER () AS r, skills
+          FROM ({every_source('SELECT skills FROM staged', staged_ctes)})),
+        s AS (SELECT DISTINCT r, unnest(skills) AS skill FROM a),
+        n AS (SELECT skill, count(*) AS n FROM s GROUP BY skill),
+        p AS (SELECT x.skill, y.skill AS other, count(*) AS postings FROM s x JOIN s y
+          ON x.r = y.r AND x.skill < y.skill GROUP BY ALL HAVING count(*) >= 20)
+        SELECT p.skill, other, postings, round(postings * (SELECT count(*) FROM a)
+          / (a.n * b.n), 6) AS lift
+        FROM p JOIN n a ON a.skill = p.skill JOIN n b ON b.skill = other""",
     "mart_city_type": f"""WITH a AS ({every_source(
             'SELECT city, employment_type FROM staged', staged_ctes)})
         SELECT city, employment_type, CAST(grouping(city, employment_type) AS BIGINT) AS level,

@@ -16,7 +16,7 @@ from postloom.operators.spread import spread
 from postloom.operators.vocabulary import match_terms
 from postloom.plans import marts
 from postloom.plans.pipeline import union_sources as unite
-from postloom.plans.search import search_plan
+from postloom.plans.search import search_plan, search_queries
 from postloom.plans.specs import SOURCES, STAGING_COLUMNS
 from postloom.plans.standardize import classify, prepare, standardize
 from postloom.session import shared_dir
@@ -372,6 +372,12 @@ def plan_searches(spark: SparkSession, sf: str) -> DataFrame:
         "location", F.col("keyword_no").cast("long").alias("keyword_no"), "keyword")
 
 
+def plan_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """One query per keyword; a place stands in its text."""
+    planned = search_queries(table(spark, sf, "region"), "r_name")
+    return planned.select("keyword", "query")
+
+
 # ------------------------------------------------------------ records and pages
 def page_posting(spark: SparkSession, sf: str) -> DataFrame:
     pages = posting_pages(spark, sf).select("page_id", "url", "html")
@@ -422,6 +428,10 @@ def mart_skill_demand(spark: SparkSession, sf: str) -> DataFrame:
     return marts.skill_demand(all_postings(spark, sf))
 
 
+def mart_skill_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return marts.skill_pairs(all_postings(spark, sf), min_support=20)
+
+
 def mart_city_type(spark: SparkSession, sf: str) -> DataFrame:
     return marts.city_employment(all_postings(spark, sf))
 
@@ -520,10 +530,12 @@ QUERIES: dict[str, Query] = {
     "sample_links": sample_links,
     "top_n_accepted": top_n_accepted,
     "search_plan": plan_searches,
+    "search_queries": plan_queries,
     "records_jooble": records_jooble,
     "records_jsearch": records_jsearch,
     "records_freehire": records_freehire,
     "mart_skill_demand": mart_skill_demand,
+    "mart_skill_pairs": mart_skill_pairs,
     "mart_city_type": mart_city_type,
     "mart_daily_rolling": mart_daily_rolling,
     "stream_upsert": stream_upsert,

@@ -62,7 +62,7 @@ def merge_seen(
     ranked_by = [c for c in order if c not in (*keys, *payload)]
     batch = batch.select(*keys, *payload, *ranked_by)
     in_key = [f"{_KEY}.{c}" if c in keys else c for c in order]
-    batch = keep_last(_keyed(batch, keys), [_HASH, _KEY], in_key)
+    batch = keep_last(_keyed(batch, keys), [_HASH, _KEY], in_key, hashed=True)
     old = _keyed(existing.select(*keys, *payload, FIRST, LAST), keys).withColumn(
         "__old", F.lit(True)).alias("o")
     new = batch.select(_HASH, _KEY, *payload).withColumn("__new", F.lit(True)).alias("n")

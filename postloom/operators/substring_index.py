@@ -32,7 +32,7 @@ def text_hash(text: Column) -> list[Column]:
 def distinct_texts(df: DataFrame, *texts: Column) -> DataFrame:
     """(hash, ``text``) of every text of the given columns, once."""
     listed = df.select(F.explode(F.array(*texts)).alias("text")).where("text is not null")
-    return keep_first(listed.select(*text_hash(F.col("text")), "text"), HASH, HASH)
+    return keep_first(listed.select(*text_hash(F.col("text")), "text"), HASH, HASH, hashed=True)
 
 
 def _grams(text: Column, size: int) -> Column:

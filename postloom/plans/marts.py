@@ -40,6 +40,36 @@ def skill_demand(postings: DataFrame) -> DataFrame:
         "demand_rank")
 
 
+def skill_pairs(postings: DataFrame, min_support: int = 2) -> DataFrame:
+    """Pairs of skills that at least ``min_support`` postings name together, with their lift.
+
+    Apriori: a pair cannot be more frequent than its skills, so pairs are made of frequent skills
+    only, which bounds them by the square of the number of frequent skills, and a posting adds
+    the pairs of its own skills.  Lift is the share of the pair over what independent skills
+    would have.
+    """
+    named = cut_lineage(postings.select(F.array_distinct(F.filter(
+        F.coalesce(F.col("skills"), F.array().cast("array<string>")),
+        lambda s: s.isNotNull())).alias("skills")))
+    total = named.count()
+    counts = named.select(F.explode("skills").alias("skill")).groupBy("skill").agg(
+        F.count(F.lit(1)).alias("n"))
+    frequent = cut_lineage(counts.where(F.col("n") >= min_support))
+    kept = named.withColumn("__row", F.monotonically_increasing_id()).select(
+        "__row", F.explode("skills").alias("skill")).join(frequent.select("skill"), "skill")
+    baskets = kept.groupBy("__row").agg(F.array_sort(F.collect_list("skill")).alias("skills"))
+    both = F.flatten(F.transform("skills", lambda a, i: F.transform(
+        F.slice("skills", i + 2, F.size("skills")), lambda b: F.struct(
+            a.alias("skill"), b.alias("other")))))
+    pairs = baskets.select(F.inline(both)).groupBy("skill", "other").agg(
+        F.count(F.lit(1)).alias("postings")).where(F.col("postings") >= min_support)
+    ours = frequent.withColumnRenamed("n", "n_skill")
+    theirs = frequent.select(F.col("skill").alias("other"), F.col("n").alias("n_other"))
+    return pairs.join(ours, "skill").join(theirs, "other").select(
+        "skill", "other", "postings", F.round(
+            F.col("postings") * F.lit(total) / (F.col("n_skill") * F.col("n_other")), 6).alias("lift"))
+
+
 def city_employment(postings: DataFrame) -> DataFrame:
     """Postings by city and employment type, with all subtotals."""
     return (

@@ -95,7 +95,7 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
         F.col("tail"), (F.col("depth") == 0) & F.col("text").rlike(r"\A\s*\]\s*\z")
         | F.col("text").rlike(r"\A\s*\[\s*\]\s*\z") & (F.col("pos") == 0)).otherwise(
         F.col("text").rlike(r"\A\s*[\[,]\s*\{") & (F.col("text").rlike(r"\A\s*\[") == (F.col("pos") == 0))
-        & F.try_parse_json(json).isNotNull())
+        & F.from_json(json, "bad string, nothing string", {"columnNameOfCorruptRecord": "bad"})["bad"].isNull())
     checked = texts.select("file", "pos", "tail", json.alias("json"), good.alias("good"))
     broken = checked.where(~F.coalesce("good", F.lit(False))).select("file").distinct()
     return checked.where(~F.col("tail")).join(broken, "file", "left_anti").select(

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -252,3 +253,51 @@ def test_landed_records_are_standardised(spark, tmp_path):
     lines = readers.read_json_lines(spark, f"{tmp_path}/source=jooble/*", schema)
     assert standardize(lines, SOURCES["jooble"], dt.date(2026, 9, 15)).count() == 2
 
+
+
+def test_a_reader_never_misses_a_table_that_is_refreshed(spark, tmp_path):
+    import threading
+
+    name, root = "STG_REFRESHED", str(tmp_path / "tables")
+    schema = ", ".join(f"{c} {'array<string>' if c == 'skills' else 'string'}" for c in STAGING_COLUMNS)
+
+    def rows(n):
+        values = [tuple([str(i)] * 8 + [["a", "b"], "u"]) for i in range(n)]
+        return spark.createDataFrame(values, schema)
+
+    assert writers.write_staging_table(rows(3), name, root)
+    seen, stop = set(), threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.add(spark.table(name).count())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in (4, 5, 6):
+        assert writers.write_staging_table(rows(n), name, root)
+    stop.set()
+    reader.join()
+    assert seen <= {3, 4, 5, 6} and spark.table(name).count() == 6
+    with pytest.raises(Exception):  # noqa: B017 - a run that dies while it writes
+        writers.write_staging_table(rows(2).withColumn("city", F.raise_error(F.lit("dies"))), name, root)
+    assert spark.table(name).count() == 6 and spark.table(name).first()["skills"] == "a, b"
+
+
+def test_pairs_of_frequent_skills(spark):
+    import itertools
+    import random
+    from collections import Counter
+
+    from postloom.plans.marts import skill_pairs
+
+    rng = random.Random(4)
+    baskets = [rng.sample("abcdefgh", rng.randint(0, 5)) for _ in range(200)] + [None, ["a", "a", None]]
+    df = spark.createDataFrame([(b,) for b in baskets], "skills array<string>")
+    sets = [sorted({s for s in b or [] if s}) for b in baskets]
+    single = Counter(s for b in sets for s in b)
+    pairs = Counter(p for b in sets for p in itertools.combinations(b, 2))
+    for support in (1, 30, 1000):
+        got = {(r.skill, r.other): (r.postings, r.lift) for r in skill_pairs(df, support).collect()}
+        assert got == {p: (n, round(n * len(sets) / (single[p[0]] * single[p[1]]), 6))
+                       for p, n in pairs.items() if n >= support}

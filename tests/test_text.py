@@ -200,3 +200,17 @@ def test_titles_are_no_patterns(evaluate):
         [f"Job title: {title} needed"],
         lambda c: text.clean_description(c, F.lit(title))) == ["needed"]
 
+
+
+def test_dates_by_grammar(evaluate):
+    day = ["Wednesday, 5 August 2026", "Wed 05 Aug 2026", "August 5th, 2026", "the 5th of August, 2026",
+           "10:15 2026-08-05", "10:15:30 PM Aug 5 2026", "5 Aug 2026 at 7:05 am", "2026 Aug 5", "2026, 5 August",
+           "20260805T101500", "202608051015", "260805", "2026-08-05 10:00 UTC+3", "Sun, 05 Aug 2026 22:10:00 +0300",
+           "2026-08-05t23:59:59.999z", "5.8.2026".replace("5.8", "8.5"), "2026/13/08".replace("13/08", "08/05"),
+           "10:15 may 5 2026".replace("may", "aug"), "AUG-05-26", "7pm 5 aug 2026", "  2026-08-05\n"]
+    assert evaluate(day, dates.format_date) == ["2026-08-05"] * len(day)
+    assert evaluate(["10:15 may 5 2026", "2026", "08/2026", "2026-13-05", "31/31/2026", "Aug 5", "5", "05",
+                     "monday", "10:15", "2026-08-05 x", "1 2 3 4", "2026-02-29", "99991231", "aug aug 2026"],
+                    dates.format_date) == [
+        "2026-05-05", "2026-01-01", "2026-08-01", "2026-05-13", None, None, None, None, None, None, None, None,
+        None, "9999-12-31", None]
