@@ -6,9 +6,11 @@ hash of their id, and each block is packed into one row, sorted by length. Queri
 blocks as well.
 
 First every query meets the block of the greatest lengths of its dimension, which gives a lower bound
-of its k-th score. Then it meets every block: with the bound t, the query's length and the block's
-greatest length, the local cosine threshold is t / (|q| * longest). Above 1 the block has
-nothing; from ``STEEP`` on, candidates are first filtered by their normalised component in the
+of its k-th score. With the bound t, the query's length and a block's greatest length, the local
+cosine threshold is t / (|q| * longest). Above 1 the block has nothing for the query: queries of
+about the same t / |q| are packed together, and a cell (block, pack of queries) of which no query
+passes is dropped from the lists of both before any data is moved. In the cells that are left,
+from ``STEEP`` on, candidates are first filtered by their normalised component in the
 query's largest coordinate (coordinate pruning), below by their length alone (length pruning).
 The inner products of the rest are computed exactly, and what is not below t competes.
 
@@ -18,8 +20,9 @@ a query id that occurs several times asks once, with its smallest vector; a null
 query and comes last among equal scores; equal scores go to the smaller id; scores outside of
 64 bits are cut to its ends; an empty table gives an empty result.
 
-Scale: the stated query set meets all rows in blocks; vectors are shuffled once, blocks of
-queries are sent to every block of vectors. A length that all vectors share only makes more blocks.
+Scale: the stated query set meets all rows in blocks; vectors are shuffled to make blocks, each block
+moves once more, and packs of queries are sent to the blocks that may hold something for them,
+by a join of the two lists (one row a block and a pack). A length that all vectors share only makes more blocks.
 Per query and block at most k rows go on.
 """
 
@@ -77,20 +80,33 @@ def _pack(rows: pa.Table) -> pa.Table:
                         pa.binary()),
         "nulls": pa.array([bytes(i is None for i in ids)], pa.binary()),
         "lengths": pa.array([rows.column("length").to_numpy().astype("<f8").tobytes()], pa.binary()),
-        "data": pa.array([b"".join(rows.column("data").to_pylist())], pa.binary())})
+        "data": pa.array([b"".join(rows.column("data").to_pylist())], pa.binary()),
+        "longest": pa.array([rows.column("length")[0].as_py()], pa.float64())})
 
 
-_BLOCK_SCHEMA = "dim int, block string, ids binary, nulls binary, lengths binary, data binary"
+_BLOCK_SCHEMA = ("dim int, block string, ids binary, nulls binary, lengths binary, data binary, "
+                 "longest double")
 
 
-def products(q: np.ndarray, x: np.ndarray) -> list[int]:
-    """Exact inner products of integer-valued doubles."""
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact inner products of integer-valued doubles, as 64-bit numbers."""
     top = float(np.abs(x).max(initial=0.0)) * float(np.abs(q).max(initial=0.0)) * max(1, len(q))
     if top < _EXACT:
-        return [int(s) for s in x @ q]
+        return (x @ q).astype(np.int64)
     whole = [int(v) for v in q]
-    return [min(max(sum(a * int(b) for a, b in zip(whole, row, strict=True)), _ENDS[0]), _ENDS[1])
-            for row in x]
+    return np.array([min(max(sum(a * int(b) for a, b in zip(whole, row, strict=True)), _ENDS[0]),
+                         _ENDS[1]) for row in x], dtype=np.int64)
+
+
+def _best(scores: np.ndarray, nulls: np.ndarray, ids: np.ndarray, bound: int | None,
+          k: int) -> list[tuple[int, int, int]]:
+    """(score, null, id) of the k best that reach the bound: a selection, no full sort."""
+    places = np.arange(len(scores)) if bound is None else np.flatnonzero(scores >= bound)
+    if len(places) > k:
+        last = np.partition(scores[places], len(places) - k)[len(places) - k]
+        places = places[scores[places] >= last]  # all that tie with the last one
+    order = np.lexsort([ids[places], nulls[places], ~scores[places]])  # ~s falls as s grows
+    return [(int(scores[p]), int(nulls[p]), int(ids[p])) for p in places[order[:k]]]
 
 
 def _candidates(q: np.ndarray, q_length: float, bound: float | None, lengths: np.ndarray,
@@ -138,10 +154,8 @@ def _search(k: int):
                     q = np.frombuffer(data, "<f8")
                     places = _candidates(q, length, bound, lengths, x, float(lengths[0]))
                     places = places[(ids[places] != key) | (nulls[places] == 1)]
-                    found = [(-s, int(nulls[p]), int(ids[p])) for s, p in zip(
-                        products(q, x[places]), places, strict=True)
-                        if bound is None or s >= bound]
-                    out += [(key, None if null else i, -s) for s, null, i in sorted(found)[:k]]
+                    out += [(key, None if null else i, s) for s, null, i in _best(
+                        products(q, x[places]), nulls[places], ids[places], bound, k)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[j] for r in out], pa.int64()) for j in range(3)], names=names)
 
@@ -167,8 +181,8 @@ def top_k(vectors: DataFrame, every: int, k: int = 5, vec_id: str = "vec_id",
 
     asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(
         F.min(F.struct("data", "dim", "length")).alias("q")).select("vec_id", "q.*")
-    n_parts = max(1, -(-asked.count() // QUERIES))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(n_parts)))
+    asked = asked.withColumn("part", F.pmod(
+        F.xxhash64("vec_id"), F.lit(max(1, -(-asked.count() // QUERIES)))).cast("string"))
 
     def packed(queries: DataFrame, bound) -> DataFrame:
         return queries.groupBy("dim", "part").agg(F.collect_list(F.struct(
@@ -183,10 +197,26 @@ def top_k(vectors: DataFrame, every: int, k: int = 5, vec_id: str = "vec_id",
     bounds = seen.groupBy("query_id").agg(
         F.count("*").alias("n"), F.min("score").alias("least")).select(
         F.col("query_id").alias("vec_id"), F.when(F.col("n") >= k, F.col("least")).alias("bound"))
-    asked = written(spark, asked.join(bounds, "vec_id", "left"), "queries")
-    cells = packed(asked, F.col("bound")).join(blocks.select("dim", "block"), "dim").join(
-        blocks.drop("dim"), "block")
-    found = cells.repartition("block", "part").mapInArrow(_search(k), out)
+    # the length that a vector must have for the query, and packs of queries with about the same
+    needed = F.when((F.col("bound") > 0) & (F.col("length") > 0), F.col("bound") / F.col("length"))
+    asked = written(spark, asked.drop("part").join(bounds, "vec_id", "left").withColumn(
+        "needed", F.coalesce(needed, F.lit(0.0))), "queries")
+    steps = F.when(F.col("needed") > 0, F.floor(F.log(F.col("needed")) / np.log(RATIO))).otherwise(
+        F.lit(None)).cast("string")
+    asked = asked.withColumn("step", F.coalesce(steps, F.lit("none")))
+    alike = asked.groupBy("dim", "step").agg(F.count("*").alias("alike"))
+    asked = asked.join(alike, ["dim", "step"]).withColumn("part", F.concat_ws(
+        "/", "step", F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("alike") / QUERIES))))
+    packs = written(spark, packed(asked, F.col("bound")), "packs")
+    least = asked.groupBy("dim", "part").agg(F.min("needed").alias("needed"))
+    lists = blocks.select("dim", "block", "longest").join(least, "dim").where(
+        F.col("longest") >= F.col("needed") * (1 - SLACK)).select("dim", "block", "part")
+    # queries move to blocks; a block moves once, to the one task that holds all its cells
+    spread = max(spark.sparkContext.defaultParallelism,
+                 int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cells = lists.join(packs, ["dim", "part"]).repartition(spread, "block").join(
+        blocks.drop("dim").repartition(spread, "block"), "block")
+    found = cells.drop("longest").mapInArrow(_search(k), out)
     order = Window.partitionBy("query_id").orderBy(
         F.desc("score"), F.col("vec_id").isNull(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
