@@ -303,7 +303,7 @@ def test_conversations_come_back_whole(spark):
 
 # ------------------------------------------------------------------------ licences
 def test_base_phrases_and_templates(spark):
-    mit = license_scan.TEMPLATES[0][1]
+    mit = license_scan.TEMPLATES[0][1]  # the whole licence
     texts = ["Under the MIT  License, or apache-license.", mit.lower(), mit[:150], "general public "
              "General Public License mit license", *ODD]
     rows = [r for r in license_scan.license_scan(frame(spark, texts)).orderBy("doc_id").collect()]
@@ -509,3 +509,71 @@ def test_long_conversations_keep_their_spans(spark):
     made = chat_format.format_conversations(
         spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     assert chat_format.read_back(made).first().loss == "".join(t for _, i, _, t in rows if i % 2)
+
+
+# ------------------------------------------------------------- licences: chains, parameters
+LICENCES = (("long", " ".join(f"w{i}" for i in range(60))), ("short", "free for all"),
+            ("other", " ".join(f"v{i}" for i in range(20))))
+
+
+def brute_chain(parts):
+    """Best chain over all subsets in order, for a few parts."""
+    from itertools import combinations
+
+    best = 0
+    for size in range(1, len(parts) + 1):
+        for some in combinations(parts, size):
+            covered, ok = some[0][1], True
+            for (a, n, f), (b, m, g) in zip(some, some[1:], strict=False):
+                behind, place = a + n, f + n
+                over = max(0, behind - b, place - g)
+                ok &= (b > a and g > f and over < m and b + over - behind <= license_scan.GAP
+                       and g + over - place <= license_scan.SKIPPED)
+                covered += m - over
+            best = max(best, covered if ok else 0)
+    return best
+
+
+def test_best_chains_equal_all_chains():
+    rng = random.Random(3)
+    for _ in range(400):
+        parts = sorted((rng.randint(0, 30), rng.randint(1, 8), rng.randint(0, 30))
+                       for _ in range(rng.randint(1, 6)))
+        assert license_scan.best_chain(parts) == brute_chain(parts), parts
+
+
+def test_edited_and_disordered_copies_of_templates_that_are_passed(spark):
+    w = [f"w{i}" for i in range(60)]
+    texts = {
+        "edited": " ".join([*w[:20], "changed", *w[21:40], "here and there", *w[40:]]),
+        "cut": " ".join([*w[:15], *w[30:]]),
+        "disordered": " ".join([*w[30:], *w[:30]]),
+        "twice": " ".join([*w[:25], *w[20:60]]),
+        "little": " ".join(w[:20]),
+        "whole short": "it is Free, for-all of us", "part short": "free for nobody", "none": "nothing",
+    }
+    docs = frame(spark, list(texts.values()))
+    rows = license_scan.license_scan(docs, templates=LICENCES, phrases={"free for": "base"}).orderBy("doc_id")
+    got = dict(zip(texts, rows.collect(), strict=True))
+    assert {n: r.labels for n, r in got.items()} == {
+        "edited": "long", "cut": "long", "disordered": "long", "twice": "long", "little": "",
+        "whole short": "base,short", "part short": "base", "none": ""}
+    assert got["edited"].score == pytest.approx(59 / 60) and got["twice"].score == 1.0
+    assert got["disordered"].score == 0.5 and got["cut"].score == 0.75
+    assert got["little"].score == pytest.approx(1 / 3) and got["whole short"].score == 1.0
+    assert (got["whole short"].n_base, got["whole short"].first_word) == (1, 2)
+
+
+def test_cells_that_hold_nothing_are_not_made(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 8)) * np.exp(rng.normal(size=(600, 1)) * 2)
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)],
+                               "vec_id long, embedding array<double>")
+    q = np.floor(256 * x)
+    got = {}
+    for r in topk.top_k(df, every=10, k=4).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for i in range(0, 600, 10):
+        s = q @ q[i]
+        order = [j for j in np.lexsort([np.arange(600), -s]) if j != i][:4]
+        assert got[i] == [(j, int(s[j])) for j in order]
