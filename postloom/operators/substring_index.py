@@ -7,7 +7,7 @@ in them. A key with a gram that no text holds is in no text and leaves the index
 
 Scale: a text is an entry of its 128-bit hash, so repeated texts are looked up once. Grams are
 counted by a combinable aggregate. The index is broadcast up to ``BROADCAST_KEYS`` counted keys;
-beyond that narrow (hash, gram) rows are shuffled, and what is found meets the texts again.
+beyond that narrow (hash, gram) rows are shuffled. What is met is joined with the texts again.
 Nothing but that number is brought to the driver.
 """
 
@@ -68,11 +68,10 @@ def substring_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """
     index = cut_lineage(gram_index(texts, keys))
     if index.count() <= BROADCAST_KEYS:
-        met = texts.select(*HASH, "text", F.explode(_text_grams(F.col("text"))).alias("gram"))
-        found = met.join(F.broadcast(index), "gram")
-    else:
-        met = texts.select(*HASH, F.explode(_text_grams(F.col("text"))).alias("gram"))
-        found = met.join(index, "gram").select(*HASH, "key").join(texts, HASH)
+        index = F.broadcast(index)
+    # a row for each gram carries the hash only: the text would be copied for every gram
+    met = texts.select(*HASH, F.explode(_text_grams(F.col("text"))).alias("gram"))
+    found = met.join(index, "gram").select(*HASH, "key").join(texts, HASH)
     return found.where(F.contains("text", "key")).select(*HASH, "key")
 
 
