@@ -18,7 +18,7 @@ from postloom.functions.arrays import running_starts
 from postloom.functions.regex import (
     SPACE, WORD, is_word_char, let, strip, whole_word_scans, word_array, word_map,
 )
-from postloom.operators.substring_index import HASH, distinct_texts, text_hash
+from postloom.operators.substring_index import HASH, hashed_texts, text_hash
 from postloom.operators.term_trie import build_trie, tokens, trie_reports
 
 _FIRST_TOKEN = rf"(?s)\A(?:[{WORD}]+|[^{WORD}])"
@@ -182,22 +182,23 @@ def with_skills(
 ) -> DataFrame:
     """``df`` with the sorted distinct skills named in a text, for either kind of vocabulary.
 
-    With a :class:`SkillTable`, distinct texts meet the terms in a prefix tree
+    With a :class:`SkillTable`, the texts meet the terms in a prefix tree
     (:mod:`postloom.operators.term_trie`), and what they report meets the rows by hash.
     """
     if isinstance(vocabulary, SkillVocabulary):
         return df.withColumn(name, extract_skills(text, vocabulary))
     plain = skill_text(text)
-    texts = distinct_texts(df, plain)
-    found = trie_reports(texts, build_trie(vocabulary.spellings()))
+    found = trie_reports(hashed_texts(df, plain), build_trie(vocabulary.spellings()))
     kept = [F.col(f"`{c}`") for c in df.columns if c != name]
     none = F.array().cast("array<string>")
-    # the hash is of the text as it is read here, so rows without text meet nothing
-    joined = df.select(*kept, plain.alias("__plain"), *text_hash(plain)).join(found, HASH, "left")
+    # all that the text is needed for comes before the join, so only its hash is shuffled
+    hashed = df.select(*kept, plain.alias("__plain")).select(
+        *kept, *text_hash(F.col("__plain")),
+        _compounds(F.col("__plain"), vocabulary.versions).alias("__compounds"))
     skills = tidy_skills(F.concat(
-        F.coalesce("reports", none), _compounds(F.col("__plain"), vocabulary.versions)),
-        vocabulary.keep_dash)
-    return joined.withColumn(name, F.coalesce(skills, none)).drop("__plain", "reports", *HASH)
+        F.coalesce("reports", none), F.coalesce("__compounds", none)), vocabulary.keep_dash)
+    return hashed.join(found, HASH, "left").withColumn(name, F.coalesce(skills, none)).drop(
+        "__compounds", "reports", *HASH)
 
 
 def union_skills(given: Column, extracted: Column) -> Column:

@@ -1,14 +1,21 @@
-"""Which keys of a large dictionary occur in a text, as substrings: an index of rare grams.
-
-A chain of tests reads every text once for each key. Here a key is filed under one of its
-grams (``GRAM`` characters; the whole key, if it is shorter): the one that the fewest texts hold.
-Texts meet the index by an equi-join on their grams, and only the keys they meet are looked for
-in them. A key with a gram that no text holds is in no text and leaves the index.
-
-Scale: a text is an entry of its 128-bit hash, so repeated texts are looked up once. Grams are
-counted by a combinable aggregate. The index is broadcast up to ``BROADCAST_KEYS`` counted keys;
-beyond that narrow (hash, gram) rows are shuffled. What is met is joined with the texts again.
-Nothing but that number is brought to the driver.
+"""Which keys of a large dictionary occur in a text, as substrings: an index of rare words.
+
+A chain of tests reads every text once for each key. Here texts and keys are cut into words (runs
+without white space). A key that begins inside the word s of a text has its word j inside the
+word s + j: its first word ends that word, its last one begins it, those between are equal to it.
+So each key is filed under the words of the texts that can hold the one of its words that the
+fewest texts have, and every run of words of a text, as long as keys are, meets the index by
+an equi-join on the place and the word. What meets is looked for in the run only.
+
+The words of keys are found in the distinct words of the texts, not in the texts: each is filed
+under the one of its grams (``GRAM`` characters; the whole word, if it is shorter) that the
+fewest distinct words have. White space counts as a word of its own for keys that are nothing else.
+
+Scale: texts are neither shuffled nor copied. Words are counted by a combinable aggregate, runs are
+made where the text is read, and only hits, (hash of the text, key), are shuffled. Both indexes are
+broadcast up to ``BROADCAST_KEYS`` counted rows and joined by shuffles beyond. Keys of more than
+``WINDOW`` words meet by their first ones and are looked for in the texts themselves. Nothing but
+three numbers is brought to the driver.
 """
 
 from __future__ import annotations
@@ -16,11 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.operators.dedup import keep_first
+from postloom.functions.regex import SPACE
 from postloom.session import cut_lineage
 
 GRAM = 3
-BROADCAST_KEYS = 200_000
+WINDOW = 6
+BROADCAST_KEYS = 400_000
 HASH = ["__h1", "__h2"]
 
 
@@ -29,50 +37,114 @@ def text_hash(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias(HASH[0]), F.xxhash64(F.lit("second"), text).alias(HASH[1])]
 
 
-def distinct_texts(df: DataFrame, *texts: Column) -> DataFrame:
-    """(hash, ``text``) of every text of the given columns, once."""
+def hashed_texts(df: DataFrame, *texts: Column) -> DataFrame:
+    """(hash, ``text``) of every text of the given columns."""
     listed = df.select(F.explode(F.array(*texts)).alias("text")).where("text is not null")
-    return keep_first(listed.select(*text_hash(F.col("text")), "text"), HASH, HASH, hashed=True)
+    return listed.select(*text_hash(F.col("text")), "text")
+
+
+def _found(text: Column, pattern: str, group: int = 0) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+
+def _words(text: Column) -> Column:
+    return _found(text, f"[^{SPACE}]++")
+
+
+def _spaces(text: Column) -> Column:
+    return F.array_distinct(_found(text, f"[{SPACE}]++"))
+
+
+def _runs(text: Column, size: int) -> Column:
+    """Every run of ``size`` words (fewer at the end) with the white space on both sides."""
+    start = rf"(?:\A|(?<=[^{SPACE}])(?=[{SPACE}]))"
+    run = f"[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]*+){{1,{size}}}"
+    return F.array_distinct(_found(text, f"{start}(?=({run}))", 1))
 
 
 def _grams(text: Column, size: int) -> Column:
     """Every run of ``size`` characters; a zero-width match, so they may overlap."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+    return _found(text, f"(?s)(?=(.{{{size}}}))", 1)
 
 
-def _text_grams(text: Column) -> Column:
-    return F.array_distinct(F.concat(*[_grams(text, n) for n in range(1, GRAM + 1)]))
+def _all_grams(word: Column) -> Column:
+    return F.array_distinct(F.concat(*[_grams(word, n) for n in range(1, GRAM + 1)]))
 
 
-def _key_grams(key: Column) -> Column:
-    grams = F.when(F.length(key) >= GRAM, _grams(key, GRAM)).otherwise(F.array(key))
+def _piece_grams(piece: Column) -> Column:
+    grams = F.when(F.length(piece) >= GRAM, _grams(piece, GRAM)).otherwise(F.array(piece))
     return F.array_distinct(grams)
 
 
-def gram_index(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """(gram, key): each key of ``keys`` under its gram that the fewest texts hold."""
-    filed = keys.select("key", F.explode(_key_grams(F.col("key"))).alias("gram"))
+def _small(index: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(index) if rows <= BROADCAST_KEYS else index
+
+
+def _holders(words: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(piece, word, texts): the words that a piece is a substring of."""
+    filed = pieces.select("piece", F.explode(_piece_grams(F.col("piece"))).alias("gram"))
     wanted = filed.select("gram").distinct()
-    held = texts.select(F.explode(_text_grams(F.col("text"))).alias("gram"))
+    held = words.select(F.explode(_all_grams(F.col("word"))).alias("gram"))
     counts = held.join(wanted, "gram", "left_semi").groupBy("gram").agg(
-        F.count(F.lit(1)).alias("texts"))
-    rarest = filed.join(counts, "gram", "left").groupBy("key").agg(
-        F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "gram")).alias("rarest"))
-    return rarest.where("rarest.texts > 0").select("rarest.gram", "key")
+        F.count(F.lit(1)).alias("words"))
+    rarest = filed.join(counts, "gram", "left").groupBy("piece").agg(
+        F.min(F.struct(F.coalesce("words", F.lit(0)).alias("words"), "gram")).alias("rarest"))
+    index = cut_lineage(rarest.where("rarest.words > 0").select("rarest.gram", "piece"))
+    met = words.select("word", "texts", F.explode(_all_grams(F.col("word"))).alias("gram"))
+    return met.join(_small(index, index.count()), "gram").where(
+        F.contains("word", "piece")).select("piece", "word", "texts")
+
+
+def word_index(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(j, word, probe, key, n): the words of texts that each key of ``keys`` is filed under.
+
+    ``j``: the place of that word in the key; ``n``: words of the key; ``probe``: the key, or
+    its first ``WINDOW`` words if it has more.
+    """
+    listed = texts.select(F.explode(F.array_distinct(F.concat(
+        _words(F.col("text")), _spaces(F.col("text"))))).alias("word"))
+    words = cut_lineage(listed.groupBy("word").agg(F.count(F.lit(1)).alias("texts")))
+    first_words = f"^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]*+){{0,{WINDOW}}}"
+    cut = keys.select(
+        "key", F.regexp_extract("key", first_words, 0).alias("probe"), _words(F.col("key")).alias("w"))
+    cut = cut.select("key", "probe", F.size("w").alias("n"), F.posexplode(F.when(
+        F.size("w") > 0, F.slice("w", 1, WINDOW)).otherwise(F.array("key"))).alias("j", "piece"))
+    # a word of the key begins the text's word if another one stands before it, and ends it likewise
+    role = ["piece", "begins", "ends"]
+    cut = cut.withColumn("begins", F.col("j") > 0).withColumn("ends", F.col("j") < F.col("n") - 1)
+    holders = _holders(words, cut.select("piece").distinct())
+    fitting = cut_lineage(cut.select(*role).distinct().join(holders, "piece").where(
+        (~F.col("begins") | F.startswith("word", "piece"))
+        & (~F.col("ends") | F.endswith("word", "piece"))))
+    costs = fitting.groupBy(*role).agg(F.sum("texts").alias("cost"))
+    rarest = cut.join(costs, role, "left").groupBy("key", "probe", "n").agg(F.min(F.struct(
+        F.coalesce("cost", F.lit(0)).alias("cost"), "j", *role)).alias("r"))
+    return rarest.where("r.cost > 0").select("key", "probe", "n", "r.*").join(fitting, role).select(
+        "j", "word", "probe", "key", "n")
 
 
 def substring_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """(hash, ``key``) for every key that occurs in a text.
+    """(hash, ``key``), once each, for every key that occurs in a text.
 
-    ``texts``: hash and ``text``, as :func:`distinct_texts` gives them; ``keys``: distinct, not empty.
+    ``texts``: hash and ``text``, as :func:`hashed_texts` gives them; ``keys``: distinct, not empty.
     """
-    index = cut_lineage(gram_index(texts, keys))
-    if index.count() <= BROADCAST_KEYS:
-        index = F.broadcast(index)
-    # a row for each gram carries the hash only: the text would be copied for every gram
-    met = texts.select(*HASH, F.explode(_text_grams(F.col("text"))).alias("gram"))
-    found = met.join(index, "gram").select(*HASH, "key").join(texts, HASH)
-    return found.where(F.contains("text", "key")).select(*HASH, "key")
+    index = cut_lineage(word_index(texts, keys))
+    rows, places, longest = index.agg(
+        F.count(F.lit(1)), F.coalesce(F.max("j"), F.lit(0)) + 1,
+        F.coalesce(F.max("n"), F.lit(0))).first()
+    size = min(max(longest, 1), WINDOW)
+    runs = texts.select(*HASH, F.explode(F.concat(
+        _runs(F.col("text"), size), _spaces(F.col("text")))).alias("run"))
+    words = _words(F.col("run"))
+    met = runs.select(*HASH, "run", F.posexplode(F.when(
+        F.size(words) > 0, F.slice(words, 1, places)).otherwise(F.array("run"))).alias("j", "word"))
+    found = met.join(_small(index, rows), ["j", "word"]).where(
+        F.contains("run", "probe")).select(*HASH, "key", "n").distinct()
+    if longest <= WINDOW:
+        return found.drop("n")
+    whole = found.where(F.col("n") > WINDOW).join(texts.distinct(), HASH).where(
+        F.contains("text", "key"))
+    return found.where(F.col("n") <= WINDOW).drop("n").unionByName(whole.select(*HASH, "key"))
 
 
 def first_values(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -97,7 +169,7 @@ def with_first_values(df: DataFrame, dictionary: DataFrame, **texts: Column) ->
     All texts are looked up together; each column costs one join by hash, where a text that
     many rows share is one row on the other side.
     """
-    values = cut_lineage(first_values(distinct_texts(df, *texts.values()), dictionary))
+    values = cut_lineage(first_values(hashed_texts(df, *texts.values()), dictionary))
     for name, text in texts.items():
         kept = [F.col(f"`{c}`") for c in df.columns if c != name]
         df = df.select(*kept, *text_hash(text)).join(
