@@ -15,12 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.functions.regex import WORD
+from postloom.functions.regex import SPACE, WORD
 from postloom.operators.substring_index import HASH
 from postloom.session import cut_lineage
 
 BROADCAST_NODES = 200_000
 _TOKEN = f"([{WORD}]++|[^{WORD}])"
+_RUN = _TOKEN.replace("(", "(?:", 1)
 _IS_WORD = rf"\A[{WORD}]"
 _JOINT = "\x01"
 
@@ -44,41 +45,49 @@ def build_trie(terms: DataFrame) -> DataFrame:
         F.collect_set("report").alias("reports"))
 
 
-def _positions(text: Column, depth: int) -> Column:
-    """Where a term may begin: the first token, the ones behind it, one more than terms have."""
-    def at(t: Column) -> Column:
-        starts = F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.struct(
-            F.get(t, i - 1).alias("node"), F.slice(t, i + 1, depth).alias("rest"),
-            F.coalesce(F.get(t, i - 2), F.lit("")).alias("before")))
-        return F.when(F.size(t) > 0, F.filter(starts, lambda s: s["node"].rlike(_IS_WORD)
-                                              | s["before"].rlike(_IS_WORD)))
+def _runs(text: Column, size: int) -> Column:
+    """Every run of ``size`` tokens (fewer at the end) that a term may begin with.
 
-    return F.element_at(F.transform(F.array(tokens(text)), at), 1)
+    Terms do not begin with white space, and a run that occurs twice is listed once. At a word's
+    edge either a word begins, or a mark follows a word.
+    """
+    edge = f"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?=[^{WORD}{SPACE}]))"
+    return F.array_distinct(F.regexp_extract_all(
+        text, F.lit(f"(?s){edge}(?=({_RUN}{{1,{size}}}))"), F.lit(1)))
+
+
+def _small(nodes: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(nodes) if rows <= BROADCAST_NODES else nodes
 
 
 def trie_reports(texts: DataFrame, trie: DataFrame) -> DataFrame:
     """(hash, ``reports``): distinct names reported by the terms that stand in a text.
 
-    ``texts``: hash and ``text``. The number of levels is that of the longest term; a position
+    ``texts``: hash and ``text``, repeated or not. The number of levels is that of the longest term; a position
     that ends early stays as it is, under a key of its own.
     """
     trie = cut_lineage(trie)
     sizes = {r.level: r.n for r in trie.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
     depth = max(sizes, default=0)  # one number for each level of the longest term
-    state = texts.select(*HASH, F.inline(_positions(F.col("text"), max(depth, 1)))).drop("before")
+    runs = texts.select(*HASH, F.explode(_runs(F.col("text"), max(depth, 1) + 1)).alias("run"))
+    # only runs whose first token opens a term are cut into tokens
+    first = runs.withColumn("node", F.regexp_extract("run", rf"(?s)\A{_RUN}", 0))
+    opening = trie.where(F.col("level") == 1).select("node", "reports")
+    state = first.join(_small(opening, sizes.get(1, 0)), "node").select(
+        *HASH, "node", "reports", tokens(F.col("run")).alias("tokens"))
     state = state.withColumn("found", F.array().cast("array<string>"))
     for level in range(1, depth + 1):
-        nodes = trie.where(F.col("level") == level).select("node", "reports")
-        nodes = F.broadcast(nodes) if sizes[level] <= BROADCAST_NODES else nodes
-        state = state.join(nodes, "node", "inner" if level == 1 else "left")
-        following = F.get("rest", F.lit(level - 1))
+        if level > 1:
+            nodes = trie.where(F.col("level") == level).select("node", "reports")
+            state = state.join(_small(nodes, sizes[level]), "node", "left")
+        following = F.get("tokens", F.lit(level))
         last = F.substring_index("node", _JOINT, -1)
         ends = last.rlike(_IS_WORD) | F.coalesce(following.rlike(_IS_WORD), F.lit(False))
         # what does not go on gets a key that no node has and that differs between texts
         done = F.concat(F.lit(_JOINT), F.col(HASH[0]).cast("string"))
         goes_on = F.col("reports").isNotNull() & following.isNotNull()
         state = state.select(
-            *HASH, "rest",
+            *HASH, "tokens",
             F.when(F.col("reports").isNotNull() & ends, F.concat("found", "reports"))
             .otherwise(F.col("found")).alias("found"),
             F.when(goes_on, F.concat("node", F.lit(_JOINT), following)).otherwise(done).alias("node"))
