@@ -30,6 +30,7 @@ GRAM = 3
 WINDOW = 6
 BROADCAST_KEYS = 400_000
 HASH = ["__h1", "__h2"]
+ROLE = ["piece", "begins", "ends"]
 
 
 def text_hash(text: Column) -> list[Column]:
@@ -81,18 +82,26 @@ def _small(index: DataFrame, rows: int) -> DataFrame:
 
 
 def _holders(words: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(piece, word, texts): the words that a piece is a substring of."""
-    filed = pieces.select("piece", F.explode(_piece_grams(F.col("piece"))).alias("gram"))
+    """``ROLE``, word, texts: the words that can hold a piece in its role.
+
+    ``begins``, ``ends``: the piece must stand at that end of the word.
+    """
+    named = pieces.select("piece").distinct()
+    filed = named.select("piece", F.explode(_piece_grams(F.col("piece"))).alias("gram"))
     wanted = filed.select("gram").distinct()
     held = words.select(F.explode(_all_grams(F.col("word"))).alias("gram"))
-    counts = held.join(wanted, "gram", "left_semi").groupBy("gram").agg(
-        F.count(F.lit(1)).alias("words"))
+    # counted before the join: a task has few different grams, however many words it reads
+    counts = held.groupBy("gram").agg(F.count(F.lit(1)).alias("words")).join(
+        wanted, "gram", "left_semi")
     rarest = filed.join(counts, "gram", "left").groupBy("piece").agg(
         F.min(F.struct(F.coalesce("words", F.lit(0)).alias("words"), "gram")).alias("rarest"))
-    index = cut_lineage(rarest.where("rarest.words > 0").select("rarest.gram", "piece"))
+    index = cut_lineage(rarest.where("rarest.words > 0").select("rarest.gram", "piece").join(
+        pieces, "piece"))
     met = words.select("word", "texts", F.explode(_all_grams(F.col("word"))).alias("gram"))
     return met.join(_small(index, index.count()), "gram").where(
-        F.contains("word", "piece")).select("piece", "word", "texts")
+        F.contains("word", "piece")
+        & (~F.col("begins") | F.startswith("word", "piece"))
+        & (~F.col("ends") | F.endswith("word", "piece"))).select(*ROLE, "word", "texts")
 
 
 def word_index(texts: DataFrame, keys: DataFrame) -> DataFrame:
@@ -110,16 +119,12 @@ def word_index(texts: DataFrame, keys: DataFrame) -> DataFrame:
     cut = cut.select("key", "probe", F.size("w").alias("n"), F.posexplode(F.when(
         F.size("w") > 0, F.slice("w", 1, WINDOW)).otherwise(F.array("key"))).alias("j", "piece"))
     # a word of the key begins the text's word if another one stands before it, and ends it likewise
-    role = ["piece", "begins", "ends"]
     cut = cut.withColumn("begins", F.col("j") > 0).withColumn("ends", F.col("j") < F.col("n") - 1)
-    holders = _holders(words, cut.select("piece").distinct())
-    fitting = cut_lineage(cut.select(*role).distinct().join(holders, "piece").where(
-        (~F.col("begins") | F.startswith("word", "piece"))
-        & (~F.col("ends") | F.endswith("word", "piece"))))
-    costs = fitting.groupBy(*role).agg(F.sum("texts").alias("cost"))
-    rarest = cut.join(costs, role, "left").groupBy("key", "probe", "n").agg(F.min(F.struct(
-        F.coalesce("cost", F.lit(0)).alias("cost"), "j", *role)).alias("r"))
-    return rarest.where("r.cost > 0").select("key", "probe", "n", "r.*").join(fitting, role).select(
+    fitting = cut_lineage(_holders(words, cut.select(*ROLE).distinct()))
+    costs = fitting.groupBy(*ROLE).agg(F.sum("texts").alias("cost"))
+    rarest = cut.join(costs, ROLE, "left").groupBy("key", "probe", "n").agg(F.min(F.struct(
+        F.coalesce("cost", F.lit(0)).alias("cost"), "j", *ROLE)).alias("r"))
+    return rarest.where("r.cost > 0").select("key", "probe", "n", "r.*").join(fitting, ROLE).select(
         "j", "word", "probe", "key", "n")
 
 
