@@ -1,13 +1,15 @@
-"""A vocabulary table as a prefix tree, matched level by level.
-
-Texts and terms are cut into tokens: runs of word characters, and single other characters. A
-node of the tree is a prefix of a term's tokens; its table has one row a node. A position of a
-text goes on to the next level if the node of its next token exists, so that after the first
-token few positions are left. All of it is equi-joins: neither the plan nor the driver holds
-the terms.
-
-A term that begins (ends) with a mark needs a word character before (after) it, which is what
-a word boundary means there.
+"""A vocabulary table as a prefix tree, matched word by word.
+
+Texts and terms are cut into runs of word characters and the runs of marks between them. A term
+that stands between word boundaries is a sequence of whole runs: marks at either of its ends
+need a word character beyond them, so the text's run of marks ends there as well. A node of the
+tree is a prefix of a term that ends with a word, or a whole term that ends with marks; its
+table has one row a node.
+
+Terms of two or more words are opened by their first two words: where a word (or marks after
+one) begins in a text, those two meet the nodes, and only what does meet is followed to the
+next words. Shorter terms meet the distinct short pieces of a text. All of it is equi-joins: neither
+the plan nor the driver holds the terms.
 """
 
 from __future__ import annotations
@@ -21,39 +23,75 @@ from postloom.session import cut_lineage
 
 BROADCAST_NODES = 200_000
 _TOKEN = f"([{WORD}]++|[^{WORD}])"
-_RUN = _TOKEN.replace("(", "(?:", 1)
-_IS_WORD = rf"\A[{WORD}]"
-_JOINT = "\x01"
+#: A word with the marks before it.
+_CHUNK = f"[^{WORD}]*+[{WORD}]++"
+_HEAD = rf"\A(?:{_CHUNK}){{2}}"
+_OPENS, _ENDS = f"(?<=[{WORD}])(?=[^{WORD}{SPACE}])", f"(?=[{WORD}])"
+_SHORT = "\x01"
+
+#: Pieces of a text that are terms of one word or none, by the shape of the term (words and marks).
+_PIECES = {
+    "w": f"([{WORD}]++)",
+    "wm": f"(?<![{WORD}])([{WORD}]++(?! +[{WORD}])[^{WORD}]++){_ENDS}",
+    "m": f"{_OPENS}([^{WORD}]++){_ENDS}",
+    "mw": f"{_OPENS}([^{WORD}]++[{WORD}]++)",
+    "mwm": f"{_OPENS}(?=([^{WORD}]++[{WORD}]++[^{WORD}]++){_ENDS})",
+}
+_LONG, _TAIL = "long", "tail"
 
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s){_TOKEN}"), F.lit(1))
 
 
+def _chunks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_CHUNK), F.lit(0))
+
+
+def _marks(chunk: Column) -> Column:
+    return F.regexp_extract(chunk, rf"\A[^{WORD}]*+", 0)
+
+
 def build_trie(terms: DataFrame) -> DataFrame:
-    """(``level``, ``node``, ``reports``): every prefix of a term; what the term reports at its end.
+    """(``level``, ``shape``, ``node``, ``reports``): every node and what the term that ends there reports.
 
-    ``terms``: ``term`` and ``report``, the name it stands for.
+    ``terms``: ``term`` and ``report``, the name it stands for. ``level``: words of the node;
+    terms of one word or none have level 1 and a shape of their own.
     """
     cut = terms.where(F.coalesce("term", F.lit("")) != "").select(
-        tokens(F.col("term")).alias("t"), "report")
-    size = F.size("t")
-    prefixes = F.transform(F.sequence(F.lit(1), size), lambda n: F.struct(
-        n.alias("level"), F.array_join(F.slice("t", 1, n), _JOINT).alias("node"),
-        F.when(n == size, F.col("report")).alias("report")))
-    return cut.select(F.inline(prefixes)).groupBy("level", "node").agg(
+        "term", "report", _chunks(F.col("term")).alias("c"))
+    cut = cut.select("*", F.size("c").alias("n"), F.array_join("c", "").alias("words"))
+    whole = F.col("words") == F.col("term")
+
+    def node(level: Column, shape: Column, text: Column, report: Column) -> Column:
+        return F.struct(level.alias("level"), shape.alias("shape"), text.alias("node"),
+                        report.alias("report"))
+
+    opened = F.when(F.col("term").rlike(rf"\A[^{WORD}]"), "m").otherwise("")
+    shape = F.concat(opened, F.when(F.col("n") == 0, "").when(whole, "w").otherwise("wm"))
+    short = F.array(node(F.lit(1), shape, F.col("term"), F.col("report")))
+    prefixes = F.transform(F.sequence(F.lit(2), F.col("n")), lambda n: node(
+        n, F.lit(_LONG), F.array_join(F.slice("c", 1, n), ""),
+        F.when((n == F.col("n")) & whole, F.col("report"))))
+    tail = F.when(whole, F.array().cast(
+        "array<struct<level:int,shape:string,node:string,report:string>>")).otherwise(
+        F.array(node(F.col("n"), F.lit(_TAIL), F.col("term"), F.col("report"))))
+    nodes = F.when(F.col("n") < 2, short).otherwise(F.concat(prefixes, tail))
+    return cut.select(F.inline(nodes)).groupBy("level", "shape", "node").agg(
         F.collect_set("report").alias("reports"))
 
 
-def _runs(text: Column, size: int) -> Column:
-    """Every run of ``size`` tokens (fewer at the end) that a term may begin with.
+def _pieces(text: Column, shapes: list[str]) -> Column:
+    """The distinct pieces of the given shapes, each behind a sign that no run begins with."""
+    found = [F.regexp_extract_all(text, F.lit(_PIECES[s]), F.lit(1)) for s in shapes]
+    distinct = F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>")
+    return F.transform(distinct, lambda p: F.concat(F.lit(_SHORT), p))
 
-    Terms do not begin with white space, and a run that occurs twice is listed once. At a word's
-    edge either a word begins, or a mark follows a word.
-    """
-    edge = f"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?=[^{WORD}{SPACE}]))"
-    return F.array_distinct(F.regexp_extract_all(
-        text, F.lit(f"(?s){edge}(?=({_RUN}{{1,{size}}}))"), F.lit(1)))
+
+def _runs(text: Column, size: int) -> Column:
+    """Every run of two to ``size`` words that a term may begin with: at a word, or at marks after one."""
+    edge = f"(?:(?<![{WORD}])(?=[{WORD}])|{_OPENS})"
+    return F.regexp_extract_all(text, F.lit(f"{edge}(?=((?:{_CHUNK}){{2,{size}}}))"), F.lit(1))
 
 
 def _small(nodes: DataFrame, rows: int) -> DataFrame:
@@ -67,29 +105,43 @@ def trie_reports(texts: DataFrame, trie: DataFrame) -> DataFrame:
     that ends early stays as it is, under a key of its own.
     """
     trie = cut_lineage(trie)
-    sizes = {r.level: r.n for r in trie.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
-    depth = max(sizes, default=0)  # one number for each level of the longest term
-    runs = texts.select(*HASH, F.explode(_runs(F.col("text"), max(depth, 1) + 1)).alias("run"))
-    # only runs whose first token opens a term are cut into tokens
-    first = runs.withColumn("node", F.regexp_extract("run", rf"(?s)\A{_RUN}", 0))
-    opening = trie.where(F.col("level") == 1).select("node", "reports")
-    state = first.join(_small(opening, sizes.get(1, 0)), "node").select(
-        *HASH, "node", "reports", tokens(F.col("run")).alias("tokens"))
-    state = state.withColumn("found", F.array().cast("array<string>"))
-    for level in range(1, depth + 1):
-        if level > 1:
-            nodes = trie.where(F.col("level") == level).select("node", "reports")
-            state = state.join(_small(nodes, sizes[level]), "node", "left")
-        following = F.get("tokens", F.lit(level))
-        last = F.substring_index("node", _JOINT, -1)
-        ends = last.rlike(_IS_WORD) | F.coalesce(following.rlike(_IS_WORD), F.lit(False))
-        # what does not go on gets a key that no node has and that differs between texts
-        done = F.concat(F.lit(_JOINT), F.col(HASH[0]).cast("string"))
-        goes_on = F.col("reports").isNotNull() & following.isNotNull()
-        state = state.select(
-            *HASH, "tokens",
-            F.when(F.col("reports").isNotNull() & ends, F.concat("found", "reports"))
-            .otherwise(F.col("found")).alias("found"),
-            F.when(goes_on, F.concat("node", F.lit(_JOINT), following)).otherwise(done).alias("node"))
+    # one number for each shape and each level of the longest term
+    sizes = {(r.level, r.shape): r.n for r in trie.groupBy("level", "shape").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    depth = max((level for level, _ in sizes), default=0)
+    tails = {level for level, shape in sizes if shape == _TAIL}
+    looked_for = _pieces(F.col("text"), [s for s in _PIECES if (1, s) in sizes])
+    if depth > 1:
+        looked_for = F.concat(looked_for, _runs(F.col("text"), depth + bool(tails)))
+    runs = texts.select(*HASH, F.explode(looked_for).alias("run"))
+    is_piece = F.startswith("run", F.lit(_SHORT))
+    keyed = runs.withColumn("node", F.when(
+        is_piece, F.substr("run", F.lit(2))).otherwise(F.regexp_extract("run", _HEAD, 0)))
+
+    opening = trie.where((F.col("level") <= 2) & (F.col("shape") != _TAIL)).select("node", "reports")
+    rows = sum(n for (level, shape), n in sizes.items() if level <= 2 and shape != _TAIL)
+    state = keyed.join(_small(opening, rows), "node").select(
+        *HASH, "node", F.col("reports").alias("found"),
+        F.when(~is_piece, _chunks(F.col("run"))).alias("chunks"))
+    # what does not go on gets a key that no node has and that differs between texts
+    done = F.concat(F.lit(_SHORT), F.col(HASH[0]).cast("string"))
+
+    def meet(state: DataFrame, level: int, shape: str, key: Column) -> DataFrame:
+        nodes = trie.where((F.col("level") == level) & (F.col("shape") == shape)).select(
+            F.col("node").alias("key"), "reports")
+        return state.withColumn("key", F.coalesce(key, done)).join(
+            _small(nodes, sizes[level, shape]), "key", "left")
+
+    more = F.concat("found", F.coalesce("reports", F.array().cast("array<string>")))
+    for level in range(2, depth + 1):
+        if level > 2:
+            state = meet(state, level, _LONG, F.concat("node", F.get("chunks", F.lit(level - 1))))
+            state = state.select(
+                *HASH, F.when(F.col("reports").isNotNull(), F.col("key")).alias("node"),
+                more.alias("found"), "chunks")
+        if level in tails:
+            beyond = _marks(F.get("chunks", F.lit(level)))
+            state = meet(state, level, _TAIL, F.concat("node", beyond)).select(
+                *HASH, "node", more.alias("found"), "chunks")
     return state.select(*HASH, F.explode("found").alias("report")).groupBy(*HASH).agg(
         F.collect_set("report").alias("reports"))

@@ -83,7 +83,8 @@ def noisy_texts(seed, n=400):
 def test_a_vocabulary_table_finds_what_the_pattern_finds(spark, monkeypatch, versions, broadcast):
     if not broadcast:
         monkeypatch.setattr(term_trie, "BROADCAST_NODES", -1)
-    extra = ["c#", ".net", "c++", "big data lake", "top 10", "core", "é", "ui/x", "-x", "x-", "lake."]
+    extra = ["c#", ".net", "c++", "big data lake", "top 10", "core", "é", "ui/x", "-x", "x-", "lake.",
+             "big data/", "big data lake#", "machine learning/", ".net core", "++#", "/x/", "c#/"]
     folded = skills.SkillVocabulary((*skills.STARTER.terms, *extra))
     listed = spark.createDataFrame([(f" {t.upper()}",) for t in folded.terms] + [("",), (None,)],
                                    "term string")
