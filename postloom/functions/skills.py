@@ -9,6 +9,8 @@ a join instead, see :mod:`postloom.operators.vocabulary`.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -173,10 +175,18 @@ def _compounds(t: Column, versions: bool) -> Column:
         F.array(*[F.regexp_extract(t, v, 0) for v in W.COMPOUND_VARIANTS]),
     ]
     if versions:
-        parts += [F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in W.VERSION_PATTERNS]
+        parts += [_with_version(t, p) for p in W.VERSION_PATTERNS]
     return F.concat(*parts)
 
 
+def _with_version(t: Column, pattern: str) -> Column:
+    """All that a version pattern finds; texts without any of its names are not scanned."""
+    names = pattern[pattern.index("(") + 1:pattern.index(")")].split("|")
+    named = reduce(or_, [t.contains(n.lstrip(".")) for n in names])
+    return F.when(named, F.regexp_extract_all(t, F.lit(pattern), F.lit(1))).otherwise(
+        F.array().cast("array<string>"))
+
+
 def with_skills(
     df: DataFrame, text: Column, vocabulary: SkillVocabulary | SkillTable, name: str = "skills",
 ) -> DataFrame:

@@ -6,10 +6,11 @@ need a word character beyond them, so the text's run of marks ends there as well
 tree is a prefix of a term that ends with a word, or a whole term that ends with marks; its
 table has one row a node.
 
-Terms of two or more words are opened by their first two words: where a word (or marks after
-one) begins in a text, those two meet the nodes, and only what does meet is followed to the
-next words. Shorter terms meet the distinct short pieces of a text. All of it is equi-joins: neither
-the plan nor the driver holds the terms.
+Terms of two or more words are opened by their first two words: those of every place of a text
+meet the nodes, and only what does meet is followed to the next words. Shorter terms meet
+the distinct words of a text and what stands around marks. All of it is equi-joins: neither the plan
+nor the driver holds the terms. A text is cut by two patterns without any looking ahead; the
+rest is work on the arrays of its words.
 """
 
 from __future__ import annotations
@@ -17,27 +18,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.functions.regex import SPACE, WORD
+from postloom.functions.regex import WORD
 from postloom.operators.substring_index import HASH
 from postloom.session import cut_lineage
 
 BROADCAST_NODES = 200_000
 _TOKEN = f"([{WORD}]++|[^{WORD}])"
 #: A word with the marks before it.
-_CHUNK = f"[^{WORD}]*+[{WORD}]++"
-_HEAD = rf"\A(?:{_CHUNK}){{2}}"
-_OPENS, _ENDS = f"(?<=[{WORD}])(?=[^{WORD}{SPACE}])", f"(?=[{WORD}])"
-_SHORT = "\x01"
-
-#: Pieces of a text that are terms of one word or none, by the shape of the term (words and marks).
-_PIECES = {
-    "w": f"([{WORD}]++)",
-    "wm": f"(?<![{WORD}])([{WORD}]++(?! +[{WORD}])[^{WORD}]++){_ENDS}",
-    "m": f"{_OPENS}([^{WORD}]++){_ENDS}",
-    "mw": f"{_OPENS}([^{WORD}]++[{WORD}]++)",
-    "mwm": f"{_OPENS}(?=([^{WORD}]++[{WORD}]++[^{WORD}]++){_ENDS})",
-}
-_LONG, _TAIL = "long", "tail"
+_WORD, _CHUNK = f"[{WORD}]++", f"[^{WORD}]*+[{WORD}]++"
+#: Nodes of terms of two or more words, those of them that begin with marks, ends that are marks.
+_LONG, _MARKED, _TAIL = "long", "marked", "tail"
+_SHAPES = ["w", "wm", "m", "mw", "mwm"]
+_PLACE = "struct<node:string,rest:array<string>>"
 
 
 def tokens(text: Column) -> Column:
@@ -56,7 +48,7 @@ def build_trie(terms: DataFrame) -> DataFrame:
     """(``level``, ``shape``, ``node``, ``reports``): every node and what the term that ends there reports.
 
     ``terms``: ``term`` and ``report``, the name it stands for. ``level``: words of the node;
-    terms of one word or none have level 1 and a shape of their own.
+    terms of one word or none have level 1 and the order of their words and marks as shape.
     """
     cut = terms.where(F.coalesce("term", F.lit("")) != "").select(
         "term", "report", _chunks(F.col("term")).alias("c"))
@@ -71,7 +63,7 @@ def build_trie(terms: DataFrame) -> DataFrame:
     shape = F.concat(opened, F.when(F.col("n") == 0, "").when(whole, "w").otherwise("wm"))
     short = F.array(node(F.lit(1), shape, F.col("term"), F.col("report")))
     prefixes = F.transform(F.sequence(F.lit(2), F.col("n")), lambda n: node(
-        n, F.lit(_LONG), F.array_join(F.slice("c", 1, n), ""),
+        n, F.when((n == 2) & (opened != ""), _MARKED).otherwise(_LONG), F.array_join(F.slice("c", 1, n), ""),
         F.when((n == F.col("n")) & whole, F.col("report"))))
     tail = F.when(whole, F.array().cast(
         "array<struct<level:int,shape:string,node:string,report:string>>")).otherwise(
@@ -81,17 +73,65 @@ def build_trie(terms: DataFrame) -> DataFrame:
         F.collect_set("report").alias("reports"))
 
 
-def _pieces(text: Column, shapes: list[str]) -> Column:
-    """The distinct pieces of the given shapes, each behind a sign that no run begins with."""
-    found = [F.regexp_extract_all(text, F.lit(_PIECES[s]), F.lit(1)) for s in shapes]
-    distinct = F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>")
-    return F.transform(distinct, lambda p: F.concat(F.lit(_SHORT), p))
+def _place(node: Column, rest: Column | None = None) -> Column:
+    return F.struct(node.alias("node"), (F.lit(None) if rest is None else rest).cast(
+        "array<string>").alias("rest"))
 
 
-def _runs(text: Column, size: int) -> Column:
-    """Every run of two to ``size`` words that a term may begin with: at a word, or at marks after one."""
-    edge = f"(?:(?<![{WORD}])(?=[{WORD}])|{_OPENS})"
-    return F.regexp_extract_all(text, F.lit(f"{edge}(?=((?:{_CHUNK}){{2,{size}}}))"), F.lit(1))
+def _with_gaps(cut: DataFrame) -> DataFrame:
+    """Places whose marks may belong to a term: those that are one blank do not."""
+    def is_gap(i: Column) -> Column:
+        chunk, word = F.get("c", i), F.get("w", i)
+        return ~F.startswith(chunk, F.lit(" ")) | (F.octet_length(chunk) > F.octet_length(word) + 1)
+
+    return cut.withColumn("gaps", F.filter(_after(), is_gap))
+
+
+def _after() -> Column:
+    """The places of all words but the first."""
+    size = F.size("w")
+    return F.when(size > 1, F.sequence(F.lit(1), size - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _places(shapes: set[str], beyond: int) -> Column:
+    """What terms may begin with, from ``w``, the words of a text, and ``c``, those with the marks before.
+
+    (``node``, ``rest``): a piece of a given shape, or two words and the ``beyond`` next chunks.
+    """
+    w, c, gaps = F.col("w"), F.col("c"), F.col("gaps")
+    inner = F.filter(gaps, lambda i: i < F.size("w") - 1)
+
+    def word(i: Column) -> Column:
+        return F.get(w, i)
+
+    def marked(i: Column) -> Column:
+        return F.get(c, i)
+
+    def marks(i: Column) -> Column:
+        return _marks(marked(i))
+
+    pieces = {
+        "w": w,
+        "wm": F.transform(gaps, lambda i: F.concat(word(i - 1), marks(i))),
+        "m": F.transform(gaps, marks),
+        "mw": F.transform(gaps, marked),
+        "mwm": F.transform(inner, lambda i: F.concat(marked(i), marks(i + 1))),
+    }
+    listed = [pieces[s] for s in _SHAPES if s in shapes]
+    found = F.transform(
+        F.array_distinct(F.concat(F.array().cast("array<string>"), *listed)),
+        lambda p: _place(p))
+
+    def opening(i: Column, first: Column) -> Column:
+        rest = F.array(*[marked(i + 2 + k) for k in range(beyond)])
+        return _place(F.concat(first, marked(i + 1)), rest)
+
+    if _LONG in shapes:
+        found = F.concat(found, F.transform(
+            _after(), lambda i: opening(i - 1, word(i - 1))))
+    if _MARKED in shapes:
+        found = F.concat(found, F.transform(inner, lambda i: opening(i, marked(i))))
+    return found.cast(f"array<{_PLACE}>")
 
 
 def _small(nodes: DataFrame, rows: int) -> DataFrame:
@@ -110,21 +150,19 @@ def trie_reports(texts: DataFrame, trie: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n")).collect()}
     depth = max((level for level, _ in sizes), default=0)
     tails = {level for level, shape in sizes if shape == _TAIL}
-    looked_for = _pieces(F.col("text"), [s for s in _PIECES if (1, s) in sizes])
-    if depth > 1:
-        looked_for = F.concat(looked_for, _runs(F.col("text"), depth + bool(tails)))
-    runs = texts.select(*HASH, F.explode(looked_for).alias("run"))
-    is_piece = F.startswith("run", F.lit(_SHORT))
-    keyed = runs.withColumn("node", F.when(
-        is_piece, F.substr("run", F.lit(2))).otherwise(F.regexp_extract("run", _HEAD, 0)))
-
-    opening = trie.where((F.col("level") <= 2) & (F.col("shape") != _TAIL)).select("node", "reports")
+    cut = texts.select(*HASH, F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)).alias("w"),
+                       _chunks(F.col("text")).alias("c"))
+    shapes = {shape for _, shape in sizes}
+    if shapes & {*_SHAPES[1:], _MARKED}:
+        cut = _with_gaps(cut)
+    keyed = cut.select(*HASH, F.inline(_places(shapes, max(depth - 2 + bool(tails), 0))))
+
+    opening = trie.where((F.col("level") <= 2) & (F.col("shape") != _TAIL)).select(
+        "node", F.col("reports").alias("found"))
     rows = sum(n for (level, shape), n in sizes.items() if level <= 2 and shape != _TAIL)
-    state = keyed.join(_small(opening, rows), "node").select(
-        *HASH, "node", F.col("reports").alias("found"),
-        F.when(~is_piece, _chunks(F.col("run"))).alias("chunks"))
+    state = keyed.join(_small(opening, rows), "node").select(*HASH, "node", "found", "rest")
     # what does not go on gets a key that no node has and that differs between texts
-    done = F.concat(F.lit(_SHORT), F.col(HASH[0]).cast("string"))
+    done = F.concat(F.lit("\x01"), F.col(HASH[0]).cast("string"))
 
     def meet(state: DataFrame, level: int, shape: str, key: Column) -> DataFrame:
         nodes = trie.where((F.col("level") == level) & (F.col("shape") == shape)).select(
@@ -135,13 +173,13 @@ def trie_reports(texts: DataFrame, trie: DataFrame) -> DataFrame:
     more = F.concat("found", F.coalesce("reports", F.array().cast("array<string>")))
     for level in range(2, depth + 1):
         if level > 2:
-            state = meet(state, level, _LONG, F.concat("node", F.get("chunks", F.lit(level - 1))))
+            state = meet(state, level, _LONG, F.concat("node", F.get("rest", F.lit(level - 3))))
             state = state.select(
                 *HASH, F.when(F.col("reports").isNotNull(), F.col("key")).alias("node"),
-                more.alias("found"), "chunks")
+                more.alias("found"), "rest")
         if level in tails:
-            beyond = _marks(F.get("chunks", F.lit(level)))
+            beyond = _marks(F.get("rest", F.lit(level - 2)))
             state = meet(state, level, _TAIL, F.concat("node", beyond)).select(
-                *HASH, "node", more.alias("found"), "chunks")
+                *HASH, "node", more.alias("found"), "rest")
     return state.select(*HASH, F.explode("found").alias("report")).groupBy(*HASH).agg(
         F.collect_set("report").alias("reports"))
