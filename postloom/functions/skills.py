@@ -172,13 +172,19 @@ def _compounds(t: Column, versions: bool) -> Column:
     """Fixed phrases and, if asked for, names with version numbers in a skill text."""
     parts = [
         F.filter(word_array(W.COMPOUND_PHRASES), lambda p: t.contains(p)),
-        F.array(*[F.regexp_extract(t, v, 0) for v in W.COMPOUND_VARIANTS]),
+        F.array(*[_first_spelling(t, v) for v in W.COMPOUND_VARIANTS]),
     ]
     if versions:
         parts += [_with_version(t, p) for p in W.VERSION_PATTERNS]
     return F.concat(*parts)
 
 
+def _first_spelling(t: Column, pattern: str) -> Column:
+    """The first match of a pattern that opens with a plain word, or ''; other texts are not scanned."""
+    opening = pattern[:pattern.index("[")]
+    return F.when(t.contains(opening), F.regexp_extract(t, pattern, 0)).otherwise("")
+
+
 def _with_version(t: Column, pattern: str) -> Column:
     """All that a version pattern finds; texts without any of its names are not scanned."""
     names = pattern[pattern.index("(") + 1:pattern.index(")")].split("|")
