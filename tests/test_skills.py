@@ -17,6 +17,16 @@ def test_examples(evaluate):
         ["sql"]]
 
 
+def test_starter_vocabulary_is_whole(evaluate):
+    values = [
+        "cassandra, jenkins", "data quality in snowflake", "tcp/ip and siem", "xml json ruby",
+        "large language model", "tableau", "elixir linux"]
+    assert evaluate(values, S.extract_skills) == [
+        ["cassandra", "jenkins"], ["data quality", "snowflake"], ["siem", "tcp/ip"],
+        ["json", "ruby", "xml"], ["large language model"], ["tableau"], ["elixir", "linux"]]
+    assert len(S.STARTER.terms) == 150
+
+
 def test_normalize(evaluate):
     assert evaluate(["Node.js", "scikit-learn", "(AWS)", " A  b.", None], S.normalize_skill) == [
         "node.js", "scikit learn", "aws", "a b", ""]
