@@ -145,3 +145,20 @@ def test_contexts_equal_a_search_in_the_text(spark):
             if found:
                 expected[term] = found
         assert got[i] == expected, text
+
+
+def test_the_index_has_one_row_a_key_however_many_words_hold_it(spark, monkeypatch):
+    kept = []
+
+    def counting(df, cut=substring_index.cut_lineage):
+        kept.append((done := cut(df)).count())
+        return done
+
+    monkeypatch.setattr(substring_index, "cut_lineage", counting)
+    texts = [f"w{i}a b{i} c" for i in range(300)] + ["a  b", "b a", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    hashed = substring_index.hashed_texts(rows, F.col("t"))
+    keys = spark.createDataFrame([("a b",), ("a  b",)], "key string")
+    found = substring_index.substring_keys(hashed, keys).groupBy("key").count().collect()
+    assert {r["key"]: r["count"] for r in found} == {"a b": 300, "a  b": 1}
+    assert max(kept) <= 2
