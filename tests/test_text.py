@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from postloom.functions import dates, enrich, nulls, places, predicates, text
+from postloom.functions import dates, enrich, nulls, places, predicates, regex, text
 from postloom.functions.regex import strip
 
 NBSP = " "
@@ -214,3 +214,21 @@ def test_dates_by_grammar(evaluate):
                     dates.format_date) == [
         "2026-05-05", "2026-01-01", "2026-08-01", "2026-05-13", None, None, None, None, None, None, None, None,
         None, "9999-12-31", None]
+
+
+def test_lists_are_searched_by_shared_parts(evaluate):
+    words = ["data engineer ii", "data engineer", "ai engineer", "soc analyst", "security analyst", "qa", "gin"]
+    groups = regex.by_part(words)
+    assert groups["engineer"] == ["data engineer ii", "data engineer", "ai engineer"]
+    assert sorted(w for group in groups.values() for w in group) == sorted(words)
+    assert all(part in w for part, group in groups.items() for w in group)
+    # a text without a role is searched for few parts instead of all roles
+    assert len(regex.by_part(text.ranked_roles())) < 30 < len(text.ranked_roles())
+    texts = ["xdata engineer iii", "soc analyst, ai engineer", "engineers", "qa", "nothing", "", None]
+    held = [None if t is None else [w for w in words if w in t] for t in texts]
+    assert [f if f is None else sorted(f) for f in evaluate(texts, lambda t: regex.listed_words(t, words))] == [
+        h if h is None else sorted(h) for h in held]
+    assert evaluate(texts, lambda t: regex.contains_any(t, words)) == [
+        h if h is None else bool(h) for h in held]
+    assert evaluate(texts, lambda t: regex.first_listed(t, {w: w.upper() for w in words})) == [
+        h[0].upper() if h else None for h in held]
