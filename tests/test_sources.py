@@ -301,3 +301,52 @@ def test_pairs_of_frequent_skills(spark):
         got = {(r.skill, r.other): (r.postings, r.lift) for r in skill_pairs(df, support).collect()}
         assert got == {p: (n, round(n * len(sets) / (single[p[0]] * single[p[1]]), 6))
                        for p, n in pairs.items() if n >= support}
+
+
+_DROPPED = {
+    # source -> records that a rule on short fields or on the raw text drops
+    "jooble": [("ftp://x/1", "Data Engineer", "boom"), ("https://x/1", "Civil Engineer", "boom"),
+               ("https://x/1", None, "boom"), (None, "Data Engineer", "boom")],
+    "jsearch": [("https://x/1", "Data Engineer", "boom, u.s. citizen only")],
+    "freehire": [("https://x/1", "Urban data engineer", "boom")],
+    "tapneo": [("https://x/1", "", "boom without a role"), ("https://x/1", "", None)],
+    "tanqeeb": [("https://x/1", "Nurse", "boom"), ("https://x/1", "Helper", "boom of a technician")],
+}
+_NAMES = {
+    "jooble": ("url", "title", "snippet"), "jsearch": ("url", "title", "snippet"),
+    "freehire": ("source_url", "job_title", "job_description"),
+    "tapneo": ("source_url", "job_title", "JobDescription"),
+    "tanqeeb": ("job_url", "job_title", "job_description"),
+}
+
+
+@pytest.mark.parametrize("source", sorted(_DROPPED))
+def test_dropped_rows_are_not_cleaned(spark, monkeypatch, source):
+    import itertools
+
+    from postloom.plans import standardize as S
+
+    spec, long = SOURCES[source], "Senior Data Engineer for python and SQL server " * 2
+    texts = [None, "", "short", long, long + "??? ", long + "? " * 6, long + "nurse", long + "cloud hr",
+             long + "United States", "a civil engineer, " * 9, "computer science " * 9]
+    rows = list(itertools.product(
+        [None, "https://x/1", "x"], [None, "", "Data Engineer", "Sales Engineer", "urban AI"], texts))
+    schema = ", ".join(f"{n} string" for n in _NAMES[source]) + ", record_no long"
+
+    def table(records):
+        return spark.createDataFrame([(*r, i) for i, r in enumerate(records)], schema)
+
+    # rows that stay are those that no reason is reported for
+    reported = S.finish(S.classify(S.prepare(table(rows), spec), spec), spec, DAY)
+    ours = S.standardize(table(rows), spec, DAY)
+    assert sorted(map(str, ours.collect())) == sorted(map(str, reported.collect()))
+    assert ours.count() > 0
+
+    def fails(function):
+        return lambda text, *rest: F.when(F.lower(text).contains("boom"), F.raise_error(
+            F.lit("worked on"))).otherwise(function(text, *rest))
+
+    name = "extract_skills" if source == "tanqeeb" else "clean_description"
+    monkeypatch.setattr(S, name, fails(getattr(S, name)))
+    dropped = [("https://x/1", "Data Engineer", long), *_DROPPED[source]]
+    assert S.standardize(table(dropped), spec, DAY).count() == 1
