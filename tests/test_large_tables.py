@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from postloom.operators import hash_bits, term_trie
+from postloom.functions import places
+from postloom.operators import hash_bits, substring_index, term_trie
 from postloom.operators.vocabulary import match_terms
 
 
@@ -42,3 +43,64 @@ def test_places_of_texts_meet_a_large_tree_in_one_join(spark, monkeypatch):
     assert len(listed) == len(set(listed)) and set(listed) == expected
     # one join with the terms, whatever the number of words, and one with the rows
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+
+
+def chain(text, listed):
+    """Value of the first key in order of priority that occurs."""
+    return next((v for k, v, _ in sorted(listed, key=lambda e: (e[2], e[0])) if k in text), None)
+
+
+@pytest.mark.parametrize("broadcast", [-1, 40, 1_000_000])
+@pytest.mark.parametrize("head", [1, 30])
+def test_kinds_of_keys_in_turn_give_the_first_key(spark, monkeypatch, broadcast, head):
+    monkeypatch.setattr(substring_index, "BROADCAST_KEYS", broadcast)
+    monkeypatch.setattr(substring_index, "HEAD", head)
+    rng = random.Random(11)
+    syllables = ["an", "on", "the", "re", "é", "漢", "st", "qu", "x9"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+    gap = lambda: rng.choice([" ", " ", " ", "  ", "\n", "　"])
+
+    def text(n):
+        return "".join(word() + gap() for _ in range(n))[:-1]
+
+    texts = [text(rng.randint(0, 12)) for _ in range(250)] + [" ", "", "the", "an  on", None]
+    whole = " ".join(t for t in texts if t)
+    cuts = [whole[at:at + rng.randint(5, 30)] for at in range(0, len(whole) - 40, 29)]
+    keys = {*cuts, *(text(n) for n in (1, 1, 2, 2, 3, 3) for _ in range(80)), "　", " an", "on "} - {""}
+    # rare kinds first or last, equal priorities, and a value that several keys have
+    listed = [(k, f"value {i % 300}", rng.choice([5, 900, rng.randrange(1000)])) for i, k in enumerate(sorted(keys))]
+    dictionary = spark.createDataFrame(listed, "key string, value string, priority long")
+    rows = spark.createDataFrame(list(enumerate([*texts, *texts[:9]])), "i int, t string")
+    got = {r.i: r.v for r in substring_index.with_first_values(rows, dictionary, v=F.col("t")).collect()}
+    assert got == {i: None if t is None else chain(t, listed) for i, t in enumerate([*texts, *texts[:9]])}
+    assert sum(v is not None for v in got.values()) > 150
+
+
+def test_a_word_counts_with_its_first_key_only(spark, monkeypatch):
+    kept = []
+
+    def counting(df, cut=substring_index.cut_lineage):
+        kept.append((done := cut(df)).count())
+        return done
+
+    monkeypatch.setattr(substring_index, "cut_lineage", counting)
+    monkeypatch.setattr(substring_index, "HEAD", 1, raising=False)
+    letters = "abcdefghijklmnopqrst"
+    listed = [(letters[:n], f"value {n}", 100 - n) for n in range(1, 20)] + [("never", "never", 0)]
+    dictionary = spark.createDataFrame(listed, "key string, value string, priority long")
+    rows = spark.createDataFrame([(i, f"w{i}{letters}{i}") for i in range(200)], "i int, t string")
+    got = substring_index.with_first_values(rows, dictionary, v=F.col("t")).collect()
+    assert {r.v for r in got} == {"value 19"} and len(got) == 200
+    # no table has a row for each pair of a word and a key, of which there are 3,800
+    assert max(kept) <= 200
+
+
+def test_texts_stay_out_of_the_joins_with_what_was_found_in_them(spark):
+    rows = spark.createDataFrame(
+        [(1, "Riyadh", "x"), (2, "LinkedIn Riyadh", "near JEDDAH"), (3, None, "LinkedIn Tabuk")],
+        "i int, place string, body string")
+    found = places.with_city(rows, "city", places.city_dictionary(spark), F.col("place"), F.col("body"))
+    assert sorted(tuple(r) for r in found.select("i", "city").collect()) == [
+        (1, "Riyadh"), (2, "Jeddah"), (3, None)]
+    above = found.select("i", "city")._jdf.queryExecution().optimizedPlan().toString().split("Join ")[0]
+    assert "linkedin" not in above and "body" not in above
