@@ -6,9 +6,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from postloom.functions import places
+from checks import queries as Q
+from postloom.functions import places, skills
 from postloom.operators import hash_bits, substring_index, term_trie
 from postloom.operators.vocabulary import match_terms
+from postloom.plans.specs import SOURCES
+from postloom.plans.standardize import standardize
 
 
 @pytest.mark.parametrize("max_bits", [hash_bits.MAX_BITS, 64])
@@ -104,3 +107,16 @@ def test_texts_stay_out_of_the_joins_with_what_was_found_in_them(spark):
         (1, "Riyadh"), (2, "Jeddah"), (3, None)]
     above = found.select("i", "city")._jdf.queryExecution().optimizedPlan().toString().split("Join ")[0]
     assert "linkedin" not in above and "body" not in above
+
+
+def test_rows_are_kept_once_before_their_skills_are_looked_up(spark):
+    raw = spark.createDataFrame(
+        [(1, "Data Engineer", "ACME", "Riyadh", "We use python and spark in a team that builds data platforms for all."),
+         (2, "Data Engineer", "ACME", "Riyadh", "We use python and spark in a team that builds data platforms for all.")],
+        "record_no int, job_title string, company_name string, location string, job_description string")
+    raw = raw.withColumn("source_url", F.lit("https://x.example.com/1"))
+    terms = skills.SkillTable(spark.createDataFrame([("python",), ("spark",)], "term string"))
+    staged = standardize(raw, SOURCES["freehire"], Q.AS_OF, terms, cities=places.city_dictionary(spark))
+    assert [(r.city, list(r.skills)) for r in staged.collect()] == [("Riyadh", ["python", "spark"])]
+    plan = staged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "__raw_description" not in plan
