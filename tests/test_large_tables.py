@@ -120,3 +120,14 @@ def test_rows_are_kept_once_before_their_skills_are_looked_up(spark):
     assert [(r.city, list(r.skills)) for r in staged.collect()] == [("Riyadh", ["python", "spark"])]
     plan = staged._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "__raw_description" not in plan
+
+
+def test_a_gram_that_all_pieces_share_does_not_hide_their_own(spark, monkeypatch):
+    monkeypatch.setattr(substring_index, "COMMON", 3, raising=False)
+    monkeypatch.setattr(substring_index, "HEAD", 1, raising=False)
+    listed = [(f"customer#{i:06}", f"c{i}", i) for i in range(300)] + [("customer#000", "any", 900)]
+    dictionary = spark.createDataFrame(listed, "key string, value string, priority long")
+    texts = [f"by customer#{i:06}. and customer#000298" for i in (0, 7, 299)] + ["customer#0009", "customer#"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = substring_index.with_first_values(rows, dictionary, v=F.col("t")).orderBy("i").collect()
+    assert [r.v for r in got] == ["c0", "c7", "c298", "any", None]
